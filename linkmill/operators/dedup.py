@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from linkmill.functions.urls import request_fingerprint
-from linkmill.operators.bloom import BloomSize, bloom_maybe_contains
+from linkmill.operators.bloom import BloomSize, bloom_build, bloom_maybe_contains
 
 
 def fingerprint(df: DataFrame, url: str = "url", method: str | None = None, body: str | None = None,
@@ -22,15 +22,16 @@ def fingerprint(df: DataFrame, url: str = "url", method: str | None = None, body
 
 
 def admit(requests: DataFrame, seen: DataFrame | None = None, key: Sequence[str] = ("fp",), seq: str = "seq",
-          dont_filter: str | None = "dont_filter", dedup: str = "exact", bloom: DataFrame | None = None,
-          bloom_size: BloomSize | None = None) -> tuple[DataFrame, DataFrame]:
+          dont_filter: str | None = "dont_filter", dedup: str = "exact",
+          capacity: int = 10_000_000, fpp: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """`(admitted, new_seen)`: requests whose key is new, the first arrival of each.
 
     Requests with `dont_filter` always pass and leave no trace in the seen-set.
     The rank limit is applied before the shuffle, so a key held by a third of all
-    rows sends one row per task. `dedup="bloom+exact"` asks a filter built from
-    `seen` first; only rows it cannot rule out are compared exactly, so the result
-    is the same.
+    rows sends one row per task. `dedup="bloom+exact"` is for a seen-set much
+    larger than the requests: a Bloom filter of the requests, sized for `capacity`
+    of them, drops the seen keys that cannot match before they are shuffled. The
+    exact comparison follows, so the result does not depend on the filter.
     """
     filterable, passing = requests, None
     if dont_filter is not None:
@@ -40,13 +41,12 @@ def admit(requests: DataFrame, seen: DataFrame | None = None, key: Sequence[str]
     fresh = filterable.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
     if seen is not None:
         if dedup == "bloom+exact":
-            probed = bloom_maybe_contains(fresh, bloom, key[-1], bloom_size, "_maybe")
-            known = probed.filter("_maybe").drop("_maybe").join(seen, list(key), "left_anti")
-            fresh = probed.filter("not _maybe").drop("_maybe").unionByName(known)
-        elif dedup == "exact":
-            fresh = fresh.join(seen, list(key), "left_anti")
-        else:
+            size = BloomSize.of(capacity, fpp)
+            bloom = bloom_build(filterable, key[-1], size)
+            seen = bloom_maybe_contains(seen, bloom, key[-1], size, "_maybe").filter("_maybe").drop("_maybe")
+        elif dedup != "exact":
             raise ValueError(f"unknown dedup method: {dedup!r}")
+        fresh = fresh.join(seen, list(key), "left_anti")
     new_seen = fresh.select(*key)
     fresh = fresh.select(*requests.columns)
     return (fresh if passing is None else fresh.unionByName(passing)), new_seen
@@ -57,14 +57,14 @@ def merge_seen(seen: DataFrame, new_seen: DataFrame) -> DataFrame:
     return seen.unionByName(new_seen).distinct()
 
 
-def append_seen(new_seen: DataFrame, path: str, batch: str) -> None:
-    """Add a batch of new keys to the stored set.
+def append_seen(new_seen: DataFrame, path: str, batch_id: int) -> None:
+    """Add a batch of new keys to the stored set, one folder per batch and spider.
 
     Admission makes new keys disjoint from the stored ones, so only the new ones
     are written. A repeated batch replaces its own rows.
     """
-    (new_seen.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("spider", "batch").parquet(path))
+    (new_seen.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "spider").parquet(path))
 
 
 def reset_seen(seen: DataFrame, spider: str) -> DataFrame:

@@ -36,7 +36,8 @@ def take_seeds(df: DataFrame, n: int, mode: str = "list", seed: int = 0, seq: st
         batch = _take(waiting, n, [F.xxhash64(F.col(member), F.lit(seed)).asc(), F.col(member).asc()])
     else:
         raise ValueError(f"unknown mode: {mode!r}")
-    return batch, waiting.join(batch.select(key), key, "left_anti")
+    taken = batch.select(key)
+    return batch, waiting.join(F.broadcast(taken) if n <= TOP_ROWS else taken, key, "left_anti")
 
 
 def decode_seeds(df: DataFrame, encoding: str = "UTF-8", data: str = "data") -> DataFrame:
