@@ -22,17 +22,22 @@ def drop_null(values: Column) -> Column:
     return F.filter(values, lambda x: x.isNotNull())
 
 
+def _of_value(step: ColumnFn) -> ColumnFn:
+    """The step as a function of one parameter: a second one would receive the position."""
+    return lambda value: step(value)
+
+
 def map_compose(values: Column, *steps: ColumnFn) -> Column:
     """Apply each step to every value in turn and drop the nulls it produces."""
     out = drop_null(values)
     for step in steps:
-        out = drop_null(F.transform(out, step))
+        out = drop_null(F.transform(out, _of_value(step)))
     return out
 
 
 def flat_map(values: Column, step: ColumnFn) -> Column:
     """Like one step of `map_compose` for a step that returns an array."""
-    return drop_null(F.flatten(drop_null(F.transform(drop_null(values), step))))
+    return drop_null(F.flatten(drop_null(F.transform(drop_null(values), _of_value(step)))))
 
 
 def take_first(values: Column) -> Column:
@@ -96,7 +101,7 @@ def split_once(c: Column, sep: str = " ") -> Column:
 
 def strip_tags(c: Column) -> Column:
     """Remove comments and tags; entities stay."""
-    return F.regexp_replace(c, r"(?s)<!--.*?-->|</?[^>]+>", "")
+    return F.regexp_replace(c, r"(?s)<!--.*?-->|</?[^ >/]+.*?>", "")
 
 
 def clean_lines(c: Column, drop: str | None = None) -> Column:

@@ -33,7 +33,7 @@ def take_seeds(df: DataFrame, n: int, mode: str = "list", seed: int = 0, seq: st
         batch = _take(waiting, n, [F.col(score).desc(), F.col(member).desc()])
     elif mode == "set":
         waiting, key = df.select(member).distinct(), member
-        batch = _take(waiting, n, [F.xxhash64(F.col(member), F.lit(seed)).asc(), F.col(member).asc()])
+        batch = _take(waiting, n, [F.md5(F.concat(F.col(member), F.lit(f"|{seed}"))).asc(), F.col(member).asc()])
     else:
         raise ValueError(f"unknown mode: {mode!r}")
     taken = batch.select(key)
