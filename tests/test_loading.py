@@ -122,8 +122,8 @@ def test_native_stream_admission(spark, tmp_path):
 def test_stream_admission_within_a_span(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     at = dt.datetime(2024, 1, 1)
-    kind = "spider string, fp string, dont_filter boolean, at timestamp"
-    write_part(spark, folder, "p0", [("s", "a", False, at), ("s", "a", False, at + dt.timedelta(seconds=5))], kind)
+    kind = "seq long, spider string, fp string, dont_filter boolean, at timestamp"
+    write_part(spark, folder, "p0", [(1, "s", "a", False, at), (2, "s", "a", False, at + dt.timedelta(seconds=5))], kind)
     stream = stream_admit(spark.readStream.schema(kind).parquet(folder), event_time="at", within="1 minute")
     finish(stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check"))
            .trigger(availableNow=True).start(out))
