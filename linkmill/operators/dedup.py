@@ -15,10 +15,7 @@ from linkmill.operators.bloom import BloomSize, bloom_build, bloom_maybe_contain
 def fingerprint(df: DataFrame, url: str = "url", method: str | None = None, body: str | None = None,
                 options_col: str | None = None, name: str = "fp") -> DataFrame:
     """Add the fingerprint of the request described by the named columns."""
-    def column(c: str | None):
-        return None if c is None else F.col(c)
-
-    return df.withColumn(name, request_fingerprint(F.col(url), column(method), column(body), column(options_col)))
+    return df.withColumn(name, request_fingerprint(url, method, body, options_col))
 
 
 def admission_key(key: str, dont_filter: str | None, seq: str) -> Column:

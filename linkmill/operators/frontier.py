@@ -41,7 +41,7 @@ def plan_fetch(frontier: DataFrame, delay_seconds: int, start: Column, url: str
                order: Sequence[Column] | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """Add `host` and `fetch_at`: one request per host and delay, most urgent first."""
     order = batch_order("priority") if order is None else order
-    ranked = ordered_rank(frontier.withColumn("host", url_host(F.col(url))), ["host"], order, "_rank", task_rows)
+    ranked = ordered_rank(frontier.withColumn("host", url_host(url)), ["host"], order, "_rank", task_rows)
     wait = (F.col("_rank") - 1) * F.lit(delay_seconds * 1_000_000)
     at = F.timestamp_micros(F.unix_micros(start) + wait)
     return ranked.withColumn("fetch_at", at).drop("_rank")

@@ -43,9 +43,10 @@ def _attribute_text(c: Column) -> Column:
     return F.when(F.contains(bare, F.lit("&")), out).otherwise(bare)
 
 
-def _link_allowed(url: Column) -> Column:
+def _link_allowed() -> Column:
+    url = F.col("abs_url")
     extension = F.lower(F.regexp_extract(url, r"^[^?#]*\.([A-Za-z0-9]+)(?:[?#]|$)", 1))
-    path_only = U.url_path(url)
+    path_only = U.url_path("abs_url")
     denied = F.contains(path_only, F.lit(".")) & extension.isin(DENIED_EXTENSIONS)
     return F.lower(F.regexp_extract(url, r"^([A-Za-z]+)://", 1)).isin(LINK_SCHEMES) & ~denied
 
@@ -59,19 +60,18 @@ def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
     """
     raw = F.regexp_extract_all("html", F.lit(_HREF), F.lit(1))
     found = pages.select("page_id", "url", raw.alias("_raw"), F.regexp_extract("html", _BASE, 1).alias("_tag"))
-    hrefs = F.transform(F.filter("_raw", lambda x: x != ""), lambda h: U.safe_url(_attribute_text(h)))
-    base = F.when(F.col("_tag") == "", F.col("url")).otherwise(U.base_from_tag(F.col("url"), F.col("_tag")))
-    found = found.select("page_id", "url", hrefs.alias("_hrefs"), base.alias("_base"))
-    found = found.withColumns(U.BaseUrl.of(F.col("_base")).columns("_base_"))
-    base = U.BaseUrl.from_columns("_base_")
-    links = F.transform("_hrefs", lambda h, i: F.struct(
-        U.resolve_with(base, h).alias("abs_url"), i.cast("bigint").alias("pos"), h.alias("href")))
+    hrefs = F.transform(F.filter("_raw", lambda x: x != ""), _attribute_text)
+    found = found.select("page_id", "url", hrefs.alias("_texts"), U.base_from_tag("url", "_tag").alias("_base"))
+    safe = F.expr(f"transform(_texts, h -> {U.safe_url_sql('h')})")
+    found = found.select("page_id", "url", safe.alias("_hrefs"), *U.BaseUrl.of("_base").columns("_base_"))
+    target = U.resolve_sql(U.BaseUrl.from_columns("_base_"), "h")
+    links = F.expr(f"transform(_hrefs, (h, n) -> struct({target} AS abs_url, CAST(n AS BIGINT) AS pos, h AS href))")
     if unique:
         # Sorted by target, so that a repeated target follows its first occurrence.
         found = found.select("page_id", "url", F.sort_array(links).alias("_links"))
         links = F.filter("_links", lambda s, i: (i == 0) | (s["abs_url"] != F.get("_links", i - 1)["abs_url"]))
     rows = found.select("page_id", "url", F.explode(links).alias("_l"))
-    return rows.select("page_id", "url", "_l.pos", "_l.href", "_l.abs_url").filter(_link_allowed(F.col("abs_url")))
+    return rows.select("page_id", "url", "_l.pos", "_l.href", "_l.abs_url").filter(_link_allowed())
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def filter_domains(df: DataFrame, domains: Sequence[str] | str, url: str = "url"
     names = domain_list(domains) if isinstance(domains, str) else [d.lower() for d in domains if d]
     if not names:
         return df
-    host = U.url_host(F.col(url))
+    host = U.url_host(url)
     labels = F.split(host, r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -166,8 +166,9 @@ def extract_listing(pages: DataFrame, spec: ListingSpec = ListingSpec()) -> Data
     items = found.select("page_id", "url", F.posexplode("_items").alias("pos", "_item"))
     href = F.coalesce(F.get(F.col("_item.link"), 0), F.lit(""))
     image = F.coalesce(F.get(F.col("_item.image"), 0), F.lit(""))
-    return items.select("page_id", "url", "pos", U.resolve_url(F.col("url"), href).alias("abs_url"),
-                        U.fix_scheme(image).alias("front_image_url"))
+    items = items.select("page_id", "url", "pos", href.alias("_href"), image.alias("_image"))
+    return items.select("page_id", "url", "pos", U.resolve_url("url", "_href").alias("abs_url"),
+                        U.fix_scheme(F.col("_image")).alias("front_image_url"))
 
 
 def next_page(pages: DataFrame, spec: PagerSpec = PagerSpec(), marker: str = ">") -> DataFrame:
@@ -175,5 +176,5 @@ def next_page(pages: DataFrame, spec: PagerSpec = PagerSpec(), marker: str = ">"
     found = select_nodes(pages.select("page_id", "url", "html"), {"_text": spec.text, "_link": spec.link})
     hits = found.filter(F.get("_text", 0) == marker)
     href = F.coalesce(F.get("_link", 0), F.lit(""))
-    return hits.select("page_id", "url", U.resolve_url(F.col("url"), href).alias("abs_url"),
-                       F.lit(True).alias("dont_filter"))
+    hits = hits.select("page_id", "url", href.alias("_href"))
+    return hits.select("page_id", "url", U.resolve_url("url", "_href").alias("abs_url"), F.lit(True).alias("dont_filter"))

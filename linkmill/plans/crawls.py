@@ -22,7 +22,7 @@ def admitted_per_host(pages: DataFrame) -> DataFrame:
     links = extract_links(pages).select((F.col("page_id") * 1000 + F.col("pos")).alias("seq"),
                                         F.col("abs_url").alias("url"))
     admitted, _ = admit(fingerprint(links), dont_filter=None)
-    return admitted.groupBy(U.url_host(F.col("url")).alias("host")).agg(F.count("*").alias("n_links"))
+    return admitted.groupBy(U.url_host("url").alias("host")).agg(F.count("*").alias("n_links"))
 
 
 def article_requests(pages: DataFrame, listing: ListingSpec = ListingSpec(),

@@ -64,7 +64,7 @@ def page_stream(spark: SparkSession, folder: str) -> DataFrame:
 def requests(pages_: DataFrame) -> DataFrame:
     """The links of pages as requests of the page's host."""
     links = extract_links(pages_).select(
-        (F.col("page_id") * 1000 + F.col("pos")).alias("seq"), U.url_host(F.col("url")).alias("spider"),
+        (F.col("page_id") * 1000 + F.col("pos")).alias("seq"), U.url_host("url").alias("spider"),
         F.col("abs_url").alias("url"), (-F.col("pos")).cast("int").alias("priority"),
         (F.col("pos") == 0).alias("dont_filter"))
     return fingerprint(links)
@@ -72,8 +72,8 @@ def requests(pages_: DataFrame) -> DataFrame:
 
 def seen_pages(pages_: DataFrame) -> DataFrame:
     """A seen-set: one fixed path on every host that has a page."""
-    url = F.concat(U.url_origin(F.col("url")), F.lit("/the"))
-    return pages_.select(U.url_host(F.col("url")).alias("spider"), U.request_fingerprint(url).alias("fp")).distinct()
+    urls = pages_.select(U.url_host("url").alias("spider"), F.concat(U.url_origin("url"), F.lit("/the")).alias("the"))
+    return urls.select("spider", U.request_fingerprint("the").alias("fp")).distinct()
 
 
 def iso(c: Column) -> Column:
@@ -149,7 +149,7 @@ def resolve_url_(spark, folder):
     hrefs = F.array(*[F.lit(h) for h in ("c", "../c", "./d/../e", "?q=2", "#z", "//k.example.com/y", "/r", "",
                                          "https://k.example.com/x#", "mailto:a@b")])
     rows = pages(spark, folder).select("page_id", "url", F.explode(hrefs).alias("href"))
-    return rows.withColumn("abs_url", U.resolve_url(F.col("url"), F.col("href")))
+    return rows.withColumn("abs_url", U.resolve_url("url", "href"))
 
 
 @query
@@ -167,8 +167,9 @@ def _variant() -> Column:
 
 @query
 def canonical_url_(spark, folder):
-    return pages(spark, folder).select("page_id", U.canonical_url(F.col("url")).alias("canonical"),
-                                       U.canonical_url(_variant(), keep_fragments=True).alias("canonical_variant"))
+    rows = pages(spark, folder).select("page_id", "url", _variant().alias("variant"))
+    return rows.select("page_id", U.canonical_url("url").alias("canonical"),
+                       U.canonical_url("variant", keep_fragments=True).alias("canonical_variant"))
 
 
 @query
@@ -489,8 +490,8 @@ def carry_meta(spark, folder):
     p = pages(spark, folder)
     image = F.when(F.col("priority") == 0, F.lit("")).otherwise(F.concat(F.col("url"), F.lit(".png")))
     listing = requests(p).select("seq", "fp", image.alias("front_image_url"))
-    url = F.concat(U.url_origin(F.col("url")), F.lit("/the"))
-    details = p.select("page_id", U.request_fingerprint(url).alias("fp"))
+    details = p.select("page_id", F.concat(U.url_origin("url"), F.lit("/the")).alias("the"))
+    details = details.select("page_id", U.request_fingerprint("the").alias("fp"))
     return enrich.carry_meta(details, listing)
 
 
