@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from linkmill.functions.urls import url_host
 from linkmill.operators.ordered import TASK_ROWS, first_rows, ordered_rank
 
+# Largest number of keys that is sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
 
 def batch_order(order: str = "priority", seq: str = "seq", priority: str = "priority") -> list[Column]:
     """Sort columns of a named order: oldest first, newest first, or most urgent first."""
@@ -21,10 +24,17 @@ def batch_order(order: str = "priority", seq: str = "seq", priority: str = "prio
 
 
 def select_batch(frontier: DataFrame, n: int, order: str = "priority", spider: str = "spider",
-                 seq: str = "seq", task_rows: int = TASK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """`(batch, rest)`: the next `n` requests of each spider and what stays."""
+                 seq: str = "seq", task_rows: int = TASK_ROWS, broadcast_rows: int = BROADCAST_ROWS
+                 ) -> tuple[DataFrame, DataFrame]:
+    """`(batch, rest)`: the next `n` requests of each spider and what stays.
+
+    Spiders are counted first: while a batch of all of them is small, the rest is
+    found without moving the frontier.
+    """
     batch = first_rows(frontier, n, [spider], batch_order(order, seq), task_rows=task_rows)
     taken = batch.select(spider, seq)
+    if n * frontier.select(spider).distinct().count() <= broadcast_rows:
+        taken = F.broadcast(taken)
     return batch, frontier.join(taken, [spider, seq], "left_anti")
 
 

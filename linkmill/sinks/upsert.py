@@ -18,12 +18,14 @@ def fold_changes(rows: DataFrame, key: str, update_cols: Sequence[str], order: S
 
     Aggregated before the shuffle, so a key with very many changes is no hot spot.
     """
-    drop = {key, *order}
-    first = [c for c in rows.columns if c not in drop and c not in update_cols]
+    kept = [c for c in rows.columns if c == key or c not in order]
     at = F.struct(*order)
-    folded = rows.groupBy(key).agg(
-        *[F.min_by(c, at).alias(c) for c in first], *[F.max_by(c, at).alias(c) for c in update_cols])
-    return folded.select(*[c for c in rows.columns if c not in order or c == key])
+    first = [c for c in kept if c not in update_cols]
+    picks = [F.min_by(F.struct(*first), at).alias("_first")]
+    if update_cols:
+        picks.append(F.max_by(F.struct(*update_cols), at).alias("_last"))
+    folded = rows.groupBy(key).agg(*picks)
+    return folded.select(*[F.col(f"_last.{c}" if c in update_cols else f"_first.{c}").alias(c) for c in kept])
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, update_cols: Sequence[str], seq: str = "seq") -> DataFrame:

@@ -53,17 +53,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def admit_batches(requests: DataFrame, seen_path: str, out_path: str, checkpoint: str, seq: str = "seq",
-                  trigger: dict | None = None, after: Callable[[DataFrame, int], None] | None = None
-                  ) -> StreamingQuery:
+                  trigger: dict | None = None, after: Callable[[DataFrame, int], None] | None = None,
+                  **options) -> StreamingQuery:
     """Admit every micro-batch against a stored seen-set; the first arrival wins.
 
     A micro-batch only sees keys of earlier ones and overwrites its own folders, so
     repeating it after a failure gives the same tables. A restart goes on with the
-    same seen-set.
+    same seen-set. Further options, such as `dedup`, go to `admit`.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        admitted, new_seen = admit(batch, read_seen(spark, seen_path, batch_id), ("spider", "fp"), seq)
+        admitted, new_seen = admit(batch, read_seen(spark, seen_path, batch_id), ("spider", "fp"), seq, **options)
         (admitted.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
         # The new keys are read back from what was just written, not computed again.
