@@ -186,6 +186,30 @@ def sql() -> dict[str, str]:
             CASE pos WHEN 1 THEN c_custkey::VARCHAR WHEN 2 THEN '81' ELSE '82' END AS port,
             CASE WHEN pos = 1 THEN c_acctbal END AS speed, 'HTTP' AS proxy_type
             FROM customer, (VALUES (1), (2), (3)) r(pos)""",
+        "article_requests": """SELECT p_partkey AS page_id, 'http://list.example.com' || CASE n
+              WHEN 1 THEN '/p/' || p_partkey || '.html' WHEN 2 THEN '/p/' || p_partkey || '-b.html'
+              ELSE '/list/' || (p_partkey + 1) END AS url, CASE WHEN n < 3 THEN 'parse_detail' ELSE 'parse' END AS callback,
+              n = 3 AS dont_filter, CASE n WHEN 1 THEN 'https://img.example.com/' || p_partkey || '.png' ELSE '' END
+              AS front_image_url FROM part, (VALUES (1), (2), (3)) r(n)""",
+        "article_crawl": f"""WITH details AS (SELECT *, 'http://list.example.com/p/' || p_partkey || ending AS url
+              FROM part, (VALUES ('.html'), ('-b.html')) r(ending))
+            SELECT p_name || '{''.join(TITLE_SUFFIXES)}' AS title, url, md5(url) AS url_object_id,
+              CASE ending WHEN '.html' THEN 'https://img.example.com/' || p_partkey || '.png' ELSE '' END
+              AS front_image_url, '' AS front_image_path, CAST(p_size AS BIGINT) AS praise_nums,
+              p_partkey AS comment_nums, CAST(p_size AS BIGINT) AS fav_nums, p_brand AS tags,
+              '<div id="cnblogs_post_body"><p>' || p_brand || '</p></div>' AS content, '2020-04-22' AS create_date
+            FROM details""",
+        "job_crawl": f"""WITH {_LINKS}, routed AS (SELECT page_id, pos, abs_url AS url, CASE
+              WHEN regexp_matches(abs_url, '/[a-m][a-z]*$') THEN 'article'
+              WHEN regexp_matches(abs_url, '%[0-9A-F]{{2}}') THEN 'escaped'
+              WHEN regexp_matches(abs_url, 'https://.*') THEN 'other' END AS rule FROM links)
+            SELECT url, rule, CASE WHEN rule = 'article' THEN sha1(sha1('GET' || url) || '{{"wait":"1"}}')
+              ELSE sha1('GET' || url) END AS fp FROM routed WHERE rule IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id, pos) = 1""",
+        "endpoint_crawl": """SELECT c_custkey AS page_id, CASE pos WHEN 1 THEN c_name WHEN 2 THEN c_name || '-b'
+              ELSE c_name || '-c' END AS ip, CASE pos WHEN 1 THEN c_custkey::VARCHAR WHEN 2 THEN '81' ELSE '82' END AS port,
+              c_acctbal AS speed FROM customer, (VALUES (1), (2), (3)) r(pos)
+            WHERE NOT (pos = 1 AND NOT coalesce(c_acctbal > 0, false))""",
         "map_compose": """SELECT p_partkey, array_to_string(list_transform(list_filter(string_split(upper(p_name), ' '),
             lambda x: length(x) > 3), lambda x: x || '!'), '|') AS value FROM part""",
         "take_first": f"SELECT page_id, list_filter({_NAV}, lambda x: x <> '')[1] AS value FROM pages",

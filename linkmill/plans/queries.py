@@ -18,6 +18,7 @@ from linkmill.operators.links import (ListingSpec, LinkRule, PagerSpec, extract_
                                       filter_domains, next_page, route_links)
 from linkmill.operators.nodes import select_nodes, tag_texts
 from linkmill.operators.records import FieldSpec, each, extract_articles, extract_jobs, extract_table
+from linkmill.plans import crawls
 from linkmill.plans.staging import staging_path
 from linkmill.sinks import files, upsert as up
 from linkmill.sources.pages import read_pages, stream_pages
@@ -270,6 +271,61 @@ def append_endpoints_(spark, folder):
     return spark.read.schema(schemas.ENDPOINT).parquet(path)
 
 
+# The crawls as a whole
+
+def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing pages written from the part table: an entry with and one without an image."""
+    html = F.format_string(
+        '<div class="post-item"><div class="post-item-text"><a href="/p/%1$d.html">%2$s</a>'
+        '<p class="post-item-summary"><img src="//img.example.com/%1$d.png">Text</p></div></div>'
+        '<div class="post-item"><div class="post-item-text"><a href="%1$d-b.html">B</a></div></div>'
+        '<div class="pager"><a href="/list/0">1</a><a href="/list/%3$d">&gt;</a></div>',
+        F.col("p_partkey"), F.col("p_name"), F.col("p_partkey") + 1)
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("page_id"),
+        F.concat(F.lit("http://list.example.com/p/list-"), F.col("p_partkey")).alias("url"), html.alias("html"))
+
+
+def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
+    html = F.format_string(
+        '<a id="cb_post_title_url"><span>%1$s</span></a><div id="cnblogs_post_body"><p>%2$s</p></div>'
+        '<div class="postDesc"><span id="post-date">2020/04/22</span> <span id="post_view_count">%3$d</span>'
+        '<span id="post_comment_count">(%4$d)</span> <a href="#">%2$s,x</a><a href="#">y</a></div>',
+        F.col("p_name"), F.col("p_brand"), F.col("p_size"), F.col("p_partkey"))
+    name = F.explode(F.array(F.lit(".html"), F.lit("-b.html")))
+    rows = table(spark, folder, "part").select("*", name.alias("ending"))
+    return rows.select(F.col("p_partkey").alias("page_id"), F.concat(
+        F.lit("http://list.example.com/p/"), F.col("p_partkey"), F.col("ending")).alias("url"), html.alias("html"))
+
+
+@query
+def article_requests(spark, folder):
+    return crawls.article_requests(listing_pages(spark, folder)).select(
+        "page_id", "url", "callback", "dont_filter", "front_image_url")
+
+
+@query
+def article_crawl(spark, folder):
+    requests_ = crawls.article_requests(listing_pages(spark, folder))
+    items = crawls.article_records(detail_pages(spark, folder), requests_)
+    items = C.with_defaults(items, schemas.ARTICLE_LOAD_DEFAULTS)
+    return items.drop("page_id").withColumn("create_date", F.col("create_date").cast("string"))
+
+
+@query
+def job_crawl(spark, folder):
+    admitted, _ = crawls.job_frontier(pages(spark, folder), rules=RULES)
+    return admitted.select("url", "rule", "fp")
+
+
+@query
+def endpoint_crawl(spark, folder):
+    checks = table(spark, folder, "customer").select(
+        F.col("c_name").alias("ip"), F.when(F.col("c_acctbal") > 0, F.lit(204)).alias("status"))
+    pool = crawls.endpoint_pool(endpoint_pages(spark, folder), checks, fill_speed=True)
+    return pool.select("page_id", "ip", "port", "speed")
+
+
 # Cleaning
 
 @query
