@@ -38,25 +38,29 @@ RAW_TEXT = {"script": False, "style": False, "title": True, "textarea": True}
 
 _ATTRIBUTE = r"""[^\s/>][^\s/=>]*+(?:\s*+=\s*+(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+))?"""
 _TOKEN = re.compile(
-    rf"<!--(?:.*?-->|.*)|<[!?/][^A-Za-z>][^>]*>?|<([A-Za-z][^\s/>]*+)((?:[\s/]*+{_ATTRIBUTE})*+[\s/]*+)>"
-    r"|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|[^<]++|<", re.S)
+    rf"[^<]++|<([A-Za-z][^\s/>]*+)((?:[\s/]*+{_ATTRIBUTE})*+[\s/]*+)>|</([A-Za-z][^\s/>]*+)[^>]*+>"
+    r"|<([A-Za-z][^\s/>]*+)([^>]*+)>|<!--(?:.*?-->|.*)|<[!?/][^A-Za-z>][^>]*>?|<", re.S)
 _NAME_VALUE = re.compile(r"""([^\s/>][^\s/=>]*)(?:\s*=\s*('[^']*'|"[^"]*"|[^>\s]*))?""")
 
 
 class Node:
-    __slots__ = ("tag", "raw", "parent", "kids", "last", "nth", "nth_type", "start", "end", "index", "stop",
-                 "_counts", "_attrs")
+    __slots__ = ("tag", "raw", "parent", "kids", "start", "end", "index", "stop", "_places", "_attrs")
 
     def __init__(self, tag, raw, parent, start, index):
         self.tag, self.raw, self.parent, self.start, self.index = tag, raw, parent, start, index
-        self.kids, self.last, self.end, self.stop, self._counts, self._attrs = [], None, None, None, {}, None
-        self.nth = self.nth_type = 1
-        if parent is not None:
-            counts = parent._counts
-            self.nth = counts[""] = counts.get("", 0) + 1
-            self.nth_type = counts[tag] = counts.get(tag, 0) + 1
-            parent.kids.append(self)
-            parent.last = self
+        self.kids = []
+        self._places = self._attrs = None
+
+    def place(self):
+        """Position among the sibling elements, among those of the same tag, and whether it is the last."""
+        places = self.parent._places
+        if places is None:
+            places = self.parent._places = {}
+            same, kids = {}, [k for k in self.parent.kids if type(k) is Node]
+            for n, kid in enumerate(kids, 1):
+                same[kid.tag] = same.get(kid.tag, 0) + 1
+                places[kid.index] = (n, same[kid.tag], n == len(kids))
+        return places[self.index]
 
     @property
     def attrs(self):
@@ -98,20 +102,20 @@ class Tree:
         self.source, self.nodes, self.by_tag, self._named = source, [], {}, None
         self.root = self.at = Node("", "", None, 0, 0)
         self.nodes.append(self.root)
-        place, size = 0, len(source)
+        match, place, size = _TOKEN.match, 0, len(source)
         while place < size:
-            m = _TOKEN.match(source, place)
-            place = m.end()
-            first = m[0]
-            if m[1] or m[4]:
-                if m[3]:
-                    self._close(m[4].lower(), m.start(), place)
+            m = match(source, place)
+            start, place, group = place, m.end(), m.lastindex
+            if group is None:
+                token = m[0]
+                if token[0] != "<" or token == "<":
+                    self._text(token)
                 else:
-                    place = self._open((m[1] or m[4]).lower(), m[2] or m[5] or "", m.start(), place)
-            elif first[0] != "<" or first == "<":
-                self._text(first)
+                    self.at.kids.append(None)  # two texts around a comment stay two texts
+            elif group == 3:
+                self._close(m[3].lower(), start, place)
             else:
-                self.at.kids.append(None)  # two texts around a comment stay two texts
+                place = self._open(m[group - 1].lower(), m[group], start, place)
         self._leave(self.root, size)
 
     @property
@@ -156,6 +160,7 @@ class Tree:
             if old is not None:
                 self._leave(old, start)
         node = Node(tag, raw, self.at, start, len(self.nodes))
+        self.at.kids.append(node)
         self.nodes.append(node)
         self.by_tag.setdefault(tag, []).append(node)
         if tag in VOID:
@@ -171,7 +176,7 @@ class Tree:
         return place
 
     def _close(self, tag, start, end):
-        node = self._find((tag,))
+        node = self.at if self.at.tag == tag else self._find((tag,))
         if node is not None:
             self._leave(node, start)
             node.end = end
@@ -200,9 +205,11 @@ class Step:
                 return False
         if any(node.attrs.get(k) != v for k, v in self.equals):
             return False
-        if self.nth and node.nth != self.nth or self.nth_type and node.nth_type != self.nth_type:
-            return False
-        return not self.last or node.parent.last is node
+        if self.nth or self.nth_type or self.last:
+            nth, nth_type, last = node.place()
+            return (not self.nth or self.nth == nth) and (not self.nth_type or self.nth_type == nth_type) and (
+                not self.last or last)
+        return True
 
 
 @dataclass(frozen=True)
