@@ -79,6 +79,8 @@ def node_values(html: Column, fields: Fields) -> Column:
     def select(html: pa.Array) -> pa.Array:
         return pa.array((page(v.as_py()) for v in html), type=arrow_type)
 
+    # Marked so that the optimizer does not repeat the parse for a filter on its result.
+    select = select.asNondeterministic()
     gate = _may_match(html, [p if isinstance(p, Selector) else p[0] for p in plans.values()])
     return select(html if gate is None else F.when(gate, html))
 
@@ -86,7 +88,8 @@ def node_values(html: Column, fields: Fields) -> Column:
 def select_nodes(df: DataFrame, fields: Fields, html: str = "html") -> DataFrame:
     """Replace the page text by one array column per field.
 
-    Only the text travels to Python; the other columns stay in the JVM.
+    Only the text travels to Python; the other columns stay in the JVM. Filter the
+    pages beforehand: a later filter is not moved in front of the parse.
     """
     keep = [c for c in df.columns if c != html]
     found = df.select(*keep, node_values(F.col(html), fields).alias("_found"))

@@ -37,21 +37,20 @@ def stream_admit(requests: DataFrame, key: Sequence[str] = ("spider", "fp"), seq
     return fresh.select(*requests.columns)
 
 
+def create_seen(spark: SparkSession, path: str) -> None:
+    """Make the folder of a seen-set; one that is there keeps its rows."""
+    empty = spark.createDataFrame([], SEEN_TABLE)
+    empty.write.mode("append").partitionBy("batch_id", "spider").parquet(path)
+
+
 def read_seen(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
     """The stored seen-set, as it was before the given batch."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SEEN_TABLE).select("spider", "fp")
     seen = spark.read.schema(SEEN_TABLE).parquet(path)
     if before_batch is not None:
         seen = seen.filter(F.col("batch_id") < before_batch)
     return seen.select("spider", "fp")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def admit_batches(requests: DataFrame, seen_path: str, out_path: str, checkpoint: str, seq: str = "seq",
                   trigger: dict | None = None, after: Callable[[DataFrame, int], None] | None = None,
                   **options) -> StreamingQuery:
@@ -61,6 +60,8 @@ def admit_batches(requests: DataFrame, seen_path: str, out_path: str, checkpoint
     repeating it after a failure gives the same tables. A restart goes on with the
     same seen-set. Further options, such as `dedup`, go to `admit`.
     """
+    create_seen(requests.sparkSession, seen_path)
+
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         admitted, new_seen = admit(batch, read_seen(spark, seen_path, batch_id), ("spider", "fp"), seq, **options)
