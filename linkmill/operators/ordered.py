@@ -23,6 +23,10 @@ from linkmill.plans.staging import stage
 
 # Rows of one group that one task sorts without trouble.
 TASK_ROWS = 2_000_000
+# Below this a rank limit is applied by Spark before the shuffle.
+PARTIAL_LIMIT = 1000
+# Groups of input partitions whose first rows are collected separately.
+SLICES = 256
 
 
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:
@@ -137,14 +141,28 @@ def ordered_last(df: DataFrame, value: str, group: Sequence[str], order: Sequenc
     return joined.withColumn(name, F.coalesce("_filled", "_carry")).select(*df.columns, name)
 
 
+def _limit(df: DataFrame, n: int, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*group).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+
+def first_rows_per_slice(df: DataFrame, n: int, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """At most `n` rows per group and slice, among them the first `n` of each group.
+
+    A slice is a set of input partitions. Each task sends at most `n` rows of a
+    group to the slice it belongs to, so no task receives those of all others.
+    """
+    sliced = df.withColumn("_slice", F.spark_partition_id() % SLICES)
+    return _limit(sliced, n, [*group, "_slice"], order).drop("_slice")
+
+
 def first_rows(df: DataFrame, n: int, group: Sequence[str], order: Sequence[Column],
-               partial_limit: int = 1000, task_rows: int = TASK_ROWS) -> DataFrame:
-    """The first `n` rows of each group.
+               partial_limit: int = PARTIAL_LIMIT, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The first `n` rows of each group, whatever its size.
 
-    Up to the limit at which Spark prunes ranks before the shuffle, every task
-    sends at most `n` rows per group. Larger batches are ranked instead.
+    Up to the limit at which Spark prunes ranks before the shuffle this is done in
+    two steps over slices. Larger batches are ranked instead.
     """
     if n < partial_limit:
-        rank = F.row_number().over(W.partitionBy(*group).orderBy(*order))
-        return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+        return _limit(first_rows_per_slice(df, n, group, order), n, group, order)
     return ordered_rank(df, group, order, "_rank", task_rows).filter(F.col("_rank") <= n).drop("_rank")

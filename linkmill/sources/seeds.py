@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkmill.operators.ordered import first_rows
+from linkmill.operators.ordered import PARTIAL_LIMIT, first_rows, first_rows_per_slice
 
-# Above this a batch is no longer sorted in one task.
-TOP_ROWS = 100_000
+# Largest batch whose keys are sent to every executor.
+BROADCAST_ROWS = 100_000
 
 
 def _take(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """First `n` rows of the whole table: top-k per task, or ranked when `n` is large."""
-    if n <= TOP_ROWS:
-        return df.orderBy(*order).limit(n)
-    return first_rows(df.withColumn("_all", F.lit(0)), n, ["_all"], order).drop("_all")
+    """First `n` rows of the whole table."""
+    whole = df.withColumn("_all", F.lit(0))
+    if n < PARTIAL_LIMIT:
+        return first_rows_per_slice(whole, n, ["_all"], order).drop("_all").orderBy(*order).limit(n)
+    return first_rows(whole, n, ["_all"], order).drop("_all")
 
 
 def take_seeds(df: DataFrame, n: int, mode: str = "list", seed: int = 0, seq: str = "seq", member: str = "member",
@@ -37,7 +38,7 @@ def take_seeds(df: DataFrame, n: int, mode: str = "list", seed: int = 0, seq: st
     else:
         raise ValueError(f"unknown mode: {mode!r}")
     taken = batch.select(key)
-    return batch, waiting.join(F.broadcast(taken) if n <= TOP_ROWS else taken, key, "left_anti")
+    return batch, waiting.join(F.broadcast(taken) if n <= BROADCAST_ROWS else taken, key, "left_anti")
 
 
 def decode_seeds(df: DataFrame, encoding: str = "UTF-8", data: str = "data") -> DataFrame:

@@ -74,6 +74,13 @@ def test_seeds(spark):
     assert rows(batch) == rows(take_seeds(df, 2, "set", seed=1)[0])
 
 
+def test_large_seed_batches(spark):
+    df = spark.range(0, 5000, 1, 7).select((4999 - F.col("id")).alias("seq"))
+    for n in (10, 1500):
+        batch, rest = take_seeds(df, n)
+        assert sorted(r.seq for r in batch.collect()) == list(range(n)) and rest.count() == 5000 - n
+
+
 def test_seed_messages(spark):
     df = spark.createDataFrame([(1, "http://a/é".encode()), (2, b"")], "seq int, data binary")
     assert rows(decode_seeds(df).select("seq", "url", "dont_filter")) == [(1, "http://a/é", True)]
