@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.q.named_queries(), entry.oracles.sql()
 
 
 @pytest.fixture(scope="module")
