@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkmill.llm.near_text import near_duplicates
+from linkmill.llm.syncmers import fingerprint_documents
+from linkmill.llm.token_counts import read_pieces, token_counts
+from linkmill.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,11 +27,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file of the installed tokenizers; they are not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_near_text(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+@query
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), *read_pieces(tokenizer_path("piece_bpe_32k.model")))
+
+
+@query
+def op8_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def named_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
