@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkmill.llm.licences import scan_licences
 from linkmill.llm.near_text import near_duplicates
+from linkmill.llm.preference import format_preferences, pair_conversations, spans_text
 from linkmill.llm.syncmers import fingerprint_documents
 from linkmill.llm.token_counts import read_pieces, token_counts
 from linkmill.llm.toxicity import toxicity
@@ -39,6 +41,58 @@ def op1_near_text(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+@query
+def op4_preference(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = format_preferences(pair_conversations(table(spark, folder, "conversations")))
+    return pairs.select("pair_id", "n_common", "prompt", "chosen", "rejected",
+                        spans_text("chosen_spans").alias("chosen_mask"),
+                        spans_text("rejected_spans").alias("rejected_mask"))
+
+
+SQL["op4_preference"] = """
+WITH turns AS (
+  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, (conv_id % 2 + 2) % 2 AS side,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos,
+         count(*) OVER (PARTITION BY conv_id) AS n, role, text
+  FROM conversations WHERE conv_id IS NOT NULL),
+halves AS (SELECT pair_id, coalesce(max(n) FILTER (side = 0), 0) // 2 AS half FROM turns GROUP BY pair_id),
+sides AS (
+  SELECT pair_id, 'chosen' AS kind, pos, role, text FROM turns WHERE side = 0
+  UNION ALL
+  SELECT pair_id, 'rejected', pos, role, text FROM turns JOIN halves USING (pair_id)
+  WHERE (side = 0 AND pos <= half) OR (side = 1 AND pos > half)),
+shown AS (
+  SELECT *, '<|im_start|>' || replace(coalesce(role, ''), '<|im_', '< |im_') || chr(10) AS head,
+         replace(coalesce(text, ''), '<|im_', '< |im_') || '<|im_end|>' || chr(10) AS tail FROM sides),
+differing AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, min(coalesce(a.pos, b.pos)) AS first
+  FROM (SELECT * FROM shown WHERE kind = 'chosen') a
+  FULL JOIN (SELECT * FROM shown WHERE kind = 'rejected') b ON a.pair_id = b.pair_id AND a.pos = b.pos
+  WHERE a.pos IS NULL OR b.pos IS NULL OR a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text
+  GROUP BY 1),
+placed AS (
+  SELECT s.*, coalesce(d.first, 9223372036854775807) AS first,
+         sum(length(head) + length(tail)) OVER (PARTITION BY s.pair_id, kind, pos >= coalesce(d.first, 9223372036854775807)
+                                                ORDER BY pos) - length(tail) AS since
+  FROM shown s LEFT JOIN differing d USING (pair_id))
+SELECT pair_id,
+       CAST(count(*) FILTER (kind = 'chosen' AND pos < first) AS INTEGER) AS n_common,
+       coalesce(string_agg(head || tail, '' ORDER BY pos) FILTER (kind = 'chosen' AND pos < first), '') AS prompt,
+       coalesce(string_agg(head || tail, '' ORDER BY pos) FILTER (kind = 'chosen' AND pos >= first), '') AS chosen,
+       coalesce(string_agg(head || tail, '' ORDER BY pos) FILTER (kind = 'rejected' AND pos >= first), '') AS rejected,
+       coalesce(string_agg(since || '-' || (since + length(tail) - 1), ',' ORDER BY pos)
+                FILTER (kind = 'chosen' AND pos >= first AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(since || '-' || (since + length(tail) - 1), ',' ORDER BY pos)
+                FILTER (kind = 'rejected' AND pos >= first AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY pair_id
+"""
+
+
+@query
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licences(table(spark, folder, "documents"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), *read_pieces(tokenizer_path("piece_bpe_32k.model")))
