@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,22 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     stars = kept.df
     roots = stars.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def spanning_forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest: as connected as all links, at most one per vector."""
+    root: dict[int, int] = {}
+
+    def find(x):
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = root[y]
+            x = root[x]
+        return x
+
+    kept = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        p, q = find(x), find(y)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            kept.append((x, y))
+    return kept

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkmill.llm.licences import scan_licences
 from linkmill.llm.near_text import near_duplicates
+from linkmill.llm.near_vectors import near_vectors
 from linkmill.llm.preference import format_preferences, pair_conversations, spans_text
 from linkmill.llm.syncmers import fingerprint_documents
 from linkmill.llm.token_counts import read_pieces, token_counts
@@ -41,6 +42,11 @@ def op1_near_text(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+@query
+def op2_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op4_preference(spark: SparkSession, folder: str) -> DataFrame:
     pairs = format_preferences(pair_conversations(table(spark, folder, "conversations")))
