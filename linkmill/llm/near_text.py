@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkmill.llm.common import SHIFTS, Staged, hashed_texts, mix, signed, windows
-from linkmill.llm.components import components
+from linkmill.llm.components import components, spanning_forest
 
 SHINGLE = 5
 N_HASHES = 128
@@ -29,6 +29,8 @@ PACKED = N_HASHES * B_BITS // 64
 # A pair is compared in full if its estimate is at most this far below the threshold: four
 # standard deviations of the estimate.
 MARGIN = 0.15
+# Documents of a family that a task compares with as many others.
+FAMILY_BLOCK = 256
 
 _RNG = np.random.default_rng(4321)
 _FACTOR = _RNG.integers(1, 1 << 31, N_HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -126,6 +128,41 @@ def _confirmer(percent: int):
     return confirm
 
 
+def _family(percent: int):
+    """Compare two blocks of a family: pairs of different components whose estimate can reach the threshold."""
+    factor = 1 / (1 - 2.0 ** -B_BITS)
+    lowest = np.uint64(sum(1 << (B_BITS * i) for i in range(64 // B_BITS)))
+
+    def link(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table, kept = table.combine_chunks(), {}
+        ids, names = table["rep"].to_numpy(), table["c"].to_numpy()
+        block, packed = table["block"].to_numpy(), np.stack(table["packed"].to_numpy(zero_copy_only=False)).view(np.uint64)
+        sets = [shingle_set(words[bounds[i]:bounds[i + 1]])
+                for _, words, bounds in hashed_texts(table["text"].combine_chunks(), kept, lower=True)
+                for i in range(len(bounds) - 1)]
+        sizes = np.array([len(s) for s in sets])
+        right = np.flatnonzero(block == key[2].as_py())
+        a, b = [], []
+        for i in np.flatnonzero(block == key[1].as_py()):
+            among = right if key[1] != key[2] else right[right > i]
+            differ = packed[among] ^ packed[i]
+            for k in range(1, B_BITS):
+                differ |= differ >> np.uint64(k)
+            equal = 1 - np.bitwise_count(differ & lowest).sum(axis=1) / N_HASHES
+            open_ = (names[among] != names[i]) & (1 - (1 - equal) * factor >= percent / 100 - MARGIN)
+            open_ &= 100 * np.minimum(sizes[among], sizes[i]) >= percent * np.maximum(sizes[among], sizes[i])
+            for j in among[open_]:
+                x, y = (sets[i], sets[j]) if sizes[i] <= sizes[j] else (sets[j], sets[i])
+                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    a.append(ids[i])
+                    b.append(ids[j])
+        forest = spanning_forest(np.array(a, np.int64), np.array(b, np.int64))
+        return pa.table({"a": pa.array([x for x, _ in forest], pa.int64()), "b": pa.array([y for _, y in forest], pa.int64())})
+
+    return link
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Link documents whose word-shingle sets have `100 * intersection >= percent * union`.
 
@@ -139,8 +176,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     row each. Candidates come in two steps. First each member of a band bucket is paired
     with the smallest member (one row per member, whatever the bucket's size), confirmed on
     full texts, and components are formed. Then only pairs of a bucket whose members lie in
-    different components are left; their estimate is a condition of the join, so that no
-    pair comes out of it that cannot reach the threshold.
+    different components are left. Documents that estimates connect form a family; a family
+    is compared in blocks, which ship its texts and give a spanning forest of the links
+    found, not pairs. For pairs of a bucket from two families the estimate is a
+    condition of the join, so that no pair comes out of it that cannot reach the threshold.
     """
     threshold = percent / 100
     sets = Staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sets, SETS),
@@ -176,16 +215,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     links = Staged(confirmed(best.select((-F.col("m.a")).alias("a"), "b")), "links").df
     found = Staged(components(links), "found").df
 
-    named = members.join(found, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("c"))
-    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    families = components(near).select(F.col("node").alias("member"), F.col("component").alias("family"))
+    named = members.join(found, F.col("rep") == F.col("node"), "left").join(
+        families, F.col("rep") == F.col("member"), "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("c"), F.coalesce("family", "rep").alias("family"))
+    named = Staged(named, "named").df
+
+    kin = named.select("rep", "c", "family").distinct()
+    large = kin.groupBy("family").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n"))
+    large = large.where("low <> high").select("family", F.ceil(F.col("n") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    kin = kin.join(large, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    kin = kin.join(packed, "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
+    kin = kin.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    kin = kin.groupBy("family", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"))
+    within = kin.applyInArrow(_family(percent), "a long, b long")
+
+    mixed = named.groupBy("key").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high")
     open_rows = named.join(mixed.select("key"), "key", "left_semi").join(packed, "rep")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
-                  & (F.col("x.c") != F.col("y.c")) & (estimate("x.packed", "y.packed") >= threshold - MARGIN))
+                  & (F.col("x.family") != F.col("y.family"))
+                  & (estimate("x.packed", "y.packed") >= threshold - MARGIN))
     more = more.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = more.join(best.select((-F.col("m.a")).alias("a"), "b"), ["a", "b"], "left_anti")
-    extra = Staged(confirmed(more), "links").df
+    extra = Staged(confirmed(more).union(within), "links").df
     found = components(links.union(extra))
 
     names = classes.join(found, F.col("rep") == F.col("node"), "left").select(
