@@ -10,6 +10,7 @@ from linkmill.llm.licences import scan_licences
 from linkmill.llm.near_text import near_duplicates
 from linkmill.llm.near_vectors import near_vectors
 from linkmill.llm.preference import format_preferences, pair_conversations, spans_text
+from linkmill.llm.substrings import repeats_report
 from linkmill.llm.syncmers import fingerprint_documents
 from linkmill.llm.token_counts import read_pieces, token_counts
 from linkmill.llm.toxicity import toxicity
@@ -94,6 +95,11 @@ FROM placed GROUP BY pair_id
 """
 
 
+@query
+def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats_report(table(spark, folder, "documents"), window=35)
+
+
 @query
 def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licences(table(spark, folder, "documents"))
