@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkmill.llm.licences import scan_licences
+from linkmill.llm.mixing import mixture_report
 from linkmill.llm.near_text import near_duplicates
 from linkmill.llm.near_vectors import near_vectors
 from linkmill.llm.preference import format_preferences, pair_conversations, spans_text
@@ -48,6 +49,11 @@ def op2_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(table(spark, folder, "embeddings"))
 
 
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture_report(table(spark, folder, "documents"))
+
+
 @query
 def op4_preference(spark: SparkSession, folder: str) -> DataFrame:
     pairs = format_preferences(pair_conversations(table(spark, folder, "conversations")))
