@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -146,3 +148,9 @@ def signed(x: np.ndarray) -> np.ndarray:
 def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     """The column, or nulls of that type where the table has none."""
     return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
+
+
+def process_cache(name: str) -> dict:
+    """A dict that tasks of one worker process share, whatever way their code came there."""
+    home = sys.modules.setdefault("_linkmill_worker", types.ModuleType("_linkmill_worker"))
+    return home.__dict__.setdefault(name, {})

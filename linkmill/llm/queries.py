@@ -10,6 +10,7 @@ from linkmill.llm.licences import scan_licences
 from linkmill.llm.mixing import mixture_report
 from linkmill.llm.near_text import near_duplicates
 from linkmill.llm.near_vectors import near_vectors
+from linkmill.llm.packing import pack_documents
 from linkmill.llm.preference import format_preferences, pair_conversations, spans_text
 from linkmill.llm.substrings import repeats_report
 from linkmill.llm.syncmers import fingerprint_documents
@@ -121,6 +122,12 @@ def op8_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_documents(table(spark, folder, "documents"))
 
 
+@query
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return pack_documents(table(spark, folder, "documents"), f.read())
+
+
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))

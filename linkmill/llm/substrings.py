@@ -353,3 +353,24 @@ def repeats_report(docs: DataFrame, window: int = 35) -> DataFrame:
     return rows.join(texts, "rid", "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("sha", "digest").alias("kept_sha256"))
+
+
+def strip_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
+    """`docs` with the words left over in place of the texts that lose some; n_chars, if there, follows.
+
+    Texts that lose nothing stay as they are, to the character. A document that loses all its words is left out.
+    Rows that share an id are told apart by their words.
+    """
+    rows, texts = remove_repeats(docs, window)
+    changed = rows.join(texts, "rid").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.collect_set(F.struct("digest", "kept")).alias("_kept"))
+    joined = docs.join(changed, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    words = F.array_join(F.filter(F.split(F.col("text").cast("string"), "[ \\x09-\\x0D]+"), lambda w: w != ""), " ")
+    own = F.sha2(words.cast("binary"), 256)
+    mine = F.when(F.col("_kept").isNotNull(), F.get(F.filter("_kept", lambda k: k.digest == own), F.lit(0)).kept)
+    joined = joined.withColumn("_mine", mine).where("_mine IS NULL OR _mine <> ''")
+    columns = {"text": F.coalesce("_mine", "text")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("_mine").isNull(), F.col("n_chars")).otherwise(
+            F.char_length("_mine").cast(docs.schema["n_chars"].dataType))
+    return joined.select(*(columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns))
