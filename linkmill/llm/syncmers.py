@@ -154,11 +154,15 @@ def fingerprint_documents(docs: DataFrame, buckets: int | None = None) -> DataFr
     n = buckets or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("cuts")).first().cuts
     cuts = sorted(set(cuts or []))
-    bucket = F.lit(0)
-    if cuts:
-        edges = F.array(*(F.lit(c).cast("long") for c in cuts))
-        bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(_position(edges, len(cuts)))
-    rows = rows.withColumn("bucket", bucket.cast("int"))
+    edges = np.array(cuts, np.int64)
+
+    @F.arrow_udf("int")
+    def bucket_of(ids: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(edges, ids.to_numpy(), "right"), pa.int32())
+
+    # A null id counts as the lowest: null ids come last.
+    lowest = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    rows = rows.withColumn("bucket", bucket_of(lowest))
     # One row per bucket: the id its first document has, and the bucket that borrows it.
     tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top"))
     above, all_buckets = Window.orderBy("bucket"), Window.partitionBy()
@@ -171,13 +175,3 @@ def fingerprint_documents(docs: DataFrame, buckets: int | None = None) -> DataFr
     dealt = both.repartition("bucket").sortWithinPartitions(
         "bucket", "borrowed", F.col("doc_id").desc_nulls_last(), F.desc("text"))
     return dealt.mapInArrow(_compare, OUT)
-
-
-def _position(edges, n: int):
-    """Number of edges that are at most doc_id, by halving (about log n comparisons a row)."""
-    step, at = 1 << max(0, n.bit_length() - 1), F.lit(0)
-    while step:
-        reach = at + step
-        at = F.when((reach <= n) & (F.get(edges, reach - 1) <= F.col("doc_id")), reach).otherwise(at)
-        step >>= 1
-    return at
