@@ -75,15 +75,14 @@ def parse_date_or(c: Column, fmt: str = "yyyy/M/d", default: Column | dt.date |
 
 
 def first_int(c: Column) -> Column:
-    """First run of digits on the first line, else 0; null stays null."""
+    """First run of digits on the first line, else 0; null stays null, and so does a number beyond bigint."""
     digits = F.regexp_extract(c, r"^.*?(\d+)", 1)
-    return F.when(c.isNotNull(), F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint")))
+    return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
 
 def salary_floor(c: Column) -> Column:
-    """Lower bound of a range given in thousands: `25k-30k` is 25000."""
-    return F.when(c.isNotNull(), F.coalesce(F.try_multiply(first_int(c), F.lit(1000).cast("bigint")),
-                                            F.lit(0).cast("bigint")))
+    """Lower bound of a range given in thousands: `25k-30k` is 25000; null beyond bigint."""
+    return F.try_multiply(first_int(c), F.lit(1000).cast("bigint"))
 
 
 def first_token(c: Column, sep: str = ",") -> Column:

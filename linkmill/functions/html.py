@@ -9,8 +9,11 @@ Selectors are descendant chains of `tag`, `.class`, `#id`, `:last-child` and
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from html import unescape
+from html.entities import html5
+from operator import attrgetter
 
 # Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +45,20 @@ _TOKEN = re.compile(
     r"|<([A-Za-z][^\s/>]*+)([^>]*+)>|<!--(?:.*?-->|.*)|<[!?/][^A-Za-z>][^>]*>?|<", re.S)
 _NAME_VALUE = re.compile(r"""([^\s/>][^\s/=>]*)(?:\s*=\s*('[^']*'|"[^"]*"|[^>\s]*))?""")
 
+_REFERENCE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9]*)(;?)(?=(=?)))")
+_INDEX = attrgetter("index")
+
+
+def _decoded(m):
+    name, end, equals = m[1], m[2], m[3]
+    known = name is None or (name + ";" in html5 if end else name in html5 and not equals)
+    return unescape(m[0]) if known else m[0]
+
+
+def attribute_value(text):
+    """References decoded as attributes have it: a name without its semicolon stays if `=` or a letter follows."""
+    return _REFERENCE.sub(_decoded, text) if "&" in text else text
+
 
 class Node:
     __slots__ = ("tag", "raw", "parent", "kids", "start", "end", "index", "stop", "_places", "_attrs")
@@ -70,7 +87,7 @@ class Node:
                 value = m[2] or ""
                 if value[:1] in ("'", '"') and value[-1:] == value[:1]:
                     value = value[1:-1]
-                self._attrs.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
+                self._attrs.setdefault(m[1].lower(), attribute_value(value))
         return self._attrs
 
     def texts(self, deep):
@@ -100,6 +117,7 @@ class Tree:
 
     def __init__(self, source):
         self.source, self.nodes, self.by_tag, self._named = source, [], {}, None
+        self.open = {}  # open elements by tag, the innermost last
         self.root = self.at = Node("", "", None, 0, 0)
         self.nodes.append(self.root)
         match, place, size = _TOKEN.match, 0, len(source)
@@ -142,17 +160,23 @@ class Tree:
         """Close everything up to and including `node`."""
         inner, stop = self.at, len(self.nodes)
         while inner is not node:
+            self.open[inner.tag].pop()
             inner.end, inner.stop, inner = end, stop, inner.parent
+        if node is not self.root:
+            self.open[node.tag].pop()
         node.end, node.stop = end, stop
         self.at = node.parent
 
+    def _innermost(self, names):
+        return max((self.open[n][-1] for n in names if self.open.get(n)), key=_INDEX, default=None)
+
     def _find(self, names, fence=frozenset()):
-        node = self.at
-        while node is not self.root and node.tag not in fence:
-            if node.tag in names:
-                return node
-            node = node.parent
-        return None
+        """The innermost open element of `names` if no open one of `fence` lies inside it."""
+        node = self._innermost(names)
+        if node is None:
+            return None
+        wall = self._innermost(fence)
+        return node if wall is None or wall.index < node.index else None
 
     def _open(self, tag, raw, start, place):
         if tag in ENDS:
@@ -167,6 +191,7 @@ class Tree:
             node.end, node.stop = place, len(self.nodes)
             return place
         self.at = node
+        self.open.setdefault(tag, []).append(node)
         if tag in RAW_TEXT:
             close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(self.source, place)
             end = close.start() if close else len(self.source)
@@ -248,7 +273,8 @@ class Selector:
             found = tree.by_tag.get(last.tag, ())
         else:
             found = tree.nodes[1:]
-        return [n for n in found if scope.index <= n.index < scope.stop and self._matches(n, scope)]
+        first, stop = (bisect_left(found, at, key=_INDEX) for at in (scope.index, scope.stop))
+        return [n for n in found[first:stop] if self._matches(n, scope)]
 
     def values(self, tree, scope=None):
         found = self.nodes(tree, scope or tree.root)

@@ -41,11 +41,12 @@ def admit(requests: DataFrame, seen: DataFrame | None = None, key: Sequence[str]
     the partitioning of that shuffle. `dedup="bloom+exact"` is for a seen-set much
     larger than the requests: a Bloom filter of the requests, sized for `capacity`
     of them, drops the seen keys that cannot match before they are shuffled. The
-    exact comparison follows, so the result does not depend on the filter.
+    exact comparison follows, so the result does not depend on the filter. A request
+    without a key (a null URL) is not admitted: it can neither be fetched nor compared.
     """
     *scope, last = key
     compared = [*scope, "_key"]
-    keyed = requests.withColumn("_key", admission_key(last, dont_filter, seq))
+    keyed = requests.withColumn("_key", admission_key(last, dont_filter, seq)).filter(F.col("_key").isNotNull())
     rank = F.row_number().over(W.partitionBy(*compared).orderBy(seq))
     fresh = keyed.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
     if seen is not None:
@@ -55,7 +56,9 @@ def admit(requests: DataFrame, seen: DataFrame | None = None, key: Sequence[str]
             seen = bloom_maybe_contains(seen, bloom, last, size, "_maybe").filter("_maybe").drop("_maybe")
         elif dedup != "exact":
             raise ValueError(f"unknown dedup method: {dedup!r}")
-        fresh = fresh.join(seen.select(*scope, F.col(last).alias("_key")), compared, "left_anti")
+        old = seen.select(*(F.col(c).alias(f"_old_{c}") for c in scope), F.col(last).alias("_old"))
+        same = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in scope]
+        fresh = fresh.join(old, [*same, F.col("_key") == F.col("_old")], "left_anti")
     new_seen = fresh if dont_filter is None else fresh.filter(~F.coalesce(F.col(dont_filter), F.lit(False)))
     return fresh.select(*requests.columns), new_seen.select(*key)
 
@@ -82,6 +85,17 @@ def reset_seen(seen: DataFrame, spider: str) -> DataFrame:
 
 def merge_pending(frontier: DataFrame, new: DataFrame, key: Sequence[str] = ("spider", "request_key"),
                   seq: str = "seq", priority: str = "priority") -> DataFrame:
-    """Sorted-set push: every member once, the last priority wins, the first arrival is kept."""
-    rows = frontier.select(*key, seq, priority).unionByName(new.select(*key, seq, priority))
-    return rows.groupBy(*key).agg(F.max_by(priority, seq).alias(priority), F.min(seq).alias(seq))
+    """Sorted-set push: every member once, the last priority wins, the first arrival is kept with all its columns.
+
+    Only keys, `seq` and priority are folded; the other columns follow by a join on the
+    first arrival. A column that one side lacks is null there.
+    """
+    rows = frontier.unionByName(new, allowMissingColumns=True)
+    if len(rows.columns) == len(key) + 2:
+        return rows.groupBy(*key).agg(F.max_by(priority, seq).alias(priority), F.min(seq).alias(seq))
+    kept = rows.groupBy(*key).agg(F.max_by(priority, seq).alias("_priority"), F.min(seq).alias("_seq"))
+    kept = kept.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(key)), "_priority", "_seq")
+    same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(key)]
+    first = rows.join(kept, [*same, F.col(seq).eqNullSafe(F.col("_seq"))])
+    columns = [F.col("_priority").alias(priority) if c == priority else F.col(c) for c in rows.columns]
+    return first.select(*columns).dropDuplicates([*key])

@@ -32,10 +32,11 @@ def select_batch(frontier: DataFrame, n: int, order: str = "priority", spider: s
     found without moving the frontier.
     """
     batch = first_rows(frontier, n, [spider], batch_order(order, seq), task_rows=task_rows)
-    taken = batch.select(spider, seq)
+    taken = batch.select(F.col(spider).alias("_spider"), F.col(seq).alias("_seq"))
     if n * frontier.select(spider).distinct().count() <= broadcast_rows:
         taken = F.broadcast(taken)
-    return batch, frontier.join(taken, [spider, seq], "left_anti")
+    same = F.col(spider).eqNullSafe(F.col("_spider")) & F.col(seq).eqNullSafe(F.col("_seq"))
+    return batch, frontier.join(taken, same, "left_anti")
 
 
 def pending_count(frontier: DataFrame, spider: str = "spider") -> DataFrame:

@@ -19,7 +19,7 @@ from linkmill.operators.stats import carry_forward
 
 def admitted_per_host(pages: DataFrame) -> DataFrame:
     """`host, n_links`: distinct link targets of all pages, counted per host."""
-    links = extract_links(pages).select((F.col("page_id") * 1000 + F.col("pos")).alias("seq"),
+    links = extract_links(pages).select(F.struct("page_id", "pos").alias("seq"),
                                         F.col("abs_url").alias("url"))
     admitted, _ = admit(fingerprint(links), dont_filter=None)
     return admitted.groupBy(U.url_host("url").alias("host")).agg(F.count("*").alias("n_links"))

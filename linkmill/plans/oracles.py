@@ -20,16 +20,16 @@ all_links AS (SELECT page_id, url, pos, href, {_ORIGIN} || href AS abs_url FROM
 _LINKS = f"""{_OCCURRENCES},
 links AS (SELECT * FROM all_links QUALIFY row_number() OVER (PARTITION BY page_id, abs_url ORDER BY pos) = 1)"""
 _REQUESTS = f"""{_LINKS},
-requests AS (SELECT page_id * 1000 + pos AS seq, {_HOST.format("url")} AS spider, abs_url AS url,
+requests AS (SELECT page_id, pos, {_HOST.format("url")} AS spider, abs_url AS url,
              CAST(-pos AS INTEGER) AS priority, pos = 0 AS dont_filter, sha1('GET' || abs_url) AS fp FROM links)"""
 _SEEN = f"""{_REQUESTS},
 seen AS (SELECT DISTINCT {_HOST.format("url")} AS spider, sha1('GET' || {_ORIGIN} || '/the') AS fp FROM pages),
 fresh AS (SELECT * FROM (SELECT * FROM requests WHERE NOT dont_filter
-                         QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY seq) = 1) r
+                         QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id, pos) = 1) r
           ANTI JOIN seen USING (spider, fp))"""
 _ADMIT = f"""WITH {_SEEN}
-SELECT seq, spider, url, fp, dont_filter FROM fresh
-UNION ALL SELECT seq, spider, url, fp, dont_filter FROM requests WHERE dont_filter"""
+SELECT page_id, pos, spider, url, fp, dont_filter FROM fresh
+UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter"""
 
 _NAV = "regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1)"
 
@@ -72,9 +72,9 @@ QUALIFY row_number() OVER (PARTITION BY spider ORDER BY {order}) {keep} {BATCH}"
 
 
 def _plan() -> str:
-    return f"""WITH {_REQUESTS}, hosted AS (SELECT seq, {_HOST.format("url")} AS host, priority FROM requests)
-SELECT seq, host, strftime(TIMESTAMP '2024-01-01' + to_seconds(2 * (row_number() OVER
-  (PARTITION BY host ORDER BY priority DESC, seq) - 1)), '%Y-%m-%d %H:%M:%S') AS fetch_at FROM hosted"""
+    return f"""WITH {_REQUESTS}, hosted AS (SELECT page_id, pos, {_HOST.format("url")} AS host, priority FROM requests)
+SELECT page_id, pos, host, strftime(TIMESTAMP '2024-01-01' + to_seconds(2 * (row_number() OVER
+  (PARTITION BY host ORDER BY priority DESC, page_id, pos) - 1)), '%Y-%m-%d %H:%M:%S') AS fetch_at FROM hosted"""
 
 
 def _carry() -> str:
@@ -256,7 +256,7 @@ def sql() -> dict[str, str]:
             SELECT url, coalesce({" AND ".join(f"(w{i} & m{i}) <> 0" for i in range(8))}, false) AS maybe_seen
             FROM probes LEFT JOIN bloom USING (block)""",
         "merge_pending": f"""WITH {_FRONTIER} SELECT spider, request_key, arg_max_null(priority, seq) AS priority,
-            min(seq) AS seq FROM frontier GROUP BY spider, request_key""",
+            min(seq) AS seq, arg_min_null(at, seq) AS at FROM frontier GROUP BY spider, request_key""",
         "batch_fifo": _batch("seq", "<="),
         "batch_lifo": _batch("seq DESC", "<="),
         "batch_priority": _batch("priority DESC, seq", "<="),
@@ -265,7 +265,7 @@ def sql() -> dict[str, str]:
         "plan_fetch": _plan(),
         "plan_fetch_split": _plan(),
         "carry_meta": f"""WITH {_REQUESTS},
-            listing AS (SELECT fp, arg_min_null(CASE WHEN priority = 0 THEN '' ELSE url || '.png' END, seq) AS image
+            listing AS (SELECT fp, first(CASE WHEN priority = 0 THEN '' ELSE url || '.png' END ORDER BY page_id, pos) AS image
                         FROM requests GROUP BY fp)
             SELECT page_id, fp, CASE WHEN image <> '' THEN image END AS front_image_url
             FROM (SELECT page_id, sha1('GET' || {_ORIGIN} || '/the') AS fp FROM pages) LEFT JOIN listing USING (fp)""",
@@ -289,9 +289,9 @@ def sql() -> dict[str, str]:
         "stream_pages": "SELECT page_id, url, md5(html) AS html_md5 FROM pages",
         "stream_admit": f"WITH {_REQUESTS} SELECT DISTINCT spider, fp FROM requests",
         "stream_admit_batches": f"""WITH {_REQUESTS}
-            SELECT seq, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
-            QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY seq) = 1
-            UNION ALL SELECT seq, spider, url, fp, dont_filter FROM requests WHERE dont_filter""",
+            SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
+            QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id, pos) = 1
+            UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter""",
         "stream_load": f"""WITH items AS (SELECT page_id, url, md5(url) AS url_object_id, {_H1} AS title,
               {_NAV_TEXT}[6] AS tags FROM pages)
             SELECT arg_min_null(url, page_id) AS url, url_object_id, arg_max_null(title, page_id) AS title,

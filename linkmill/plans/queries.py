@@ -65,7 +65,7 @@ def page_stream(spark: SparkSession, folder: str) -> DataFrame:
 def requests(pages_: DataFrame) -> DataFrame:
     """The links of pages as requests of the page's host."""
     links = extract_links(pages_).select(
-        (F.col("page_id") * 1000 + F.col("pos")).alias("seq"), U.url_host("url").alias("spider"),
+        F.struct("page_id", "pos").alias("seq"), U.url_host("url").alias("spider"),
         F.col("abs_url").alias("url"), (-F.col("pos")).cast("int").alias("priority"),
         (F.col("pos") == 0).alias("dont_filter"))
     return fingerprint(links)
@@ -462,14 +462,14 @@ def filter_status_ok_(spark, folder):
 def admit_(spark, folder):
     p = pages(spark, folder)
     admitted, _ = admit(requests(p), seen_pages(p), ("spider", "fp"))
-    return admitted.select("seq", "spider", "url", "fp", "dont_filter")
+    return admitted.select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
 
 
 @query
 def admit_bloom(spark, folder):
     p = pages(spark, folder)
     admitted, _ = admit(requests(p), seen_pages(p), ("spider", "fp"), dedup="bloom+exact", capacity=100_000)
-    return admitted.select("seq", "spider", "url", "fp", "dont_filter")
+    return admitted.select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
 
 
 @query
@@ -529,14 +529,14 @@ def pending_count(spark, folder):
 @query
 def plan_fetch(spark, folder):
     planned = frontier.plan_fetch(requests(pages(spark, folder)), 2, F.lit(START))
-    return planned.select("seq", "host", iso(F.col("fetch_at")).alias("fetch_at"))
+    return planned.select("seq.page_id", "seq.pos", "host", iso(F.col("fetch_at")).alias("fetch_at"))
 
 
 @query
 def plan_fetch_split(spark, folder):
     """The same plan with every host treated as too large for one task."""
     planned = frontier.plan_fetch(requests(pages(spark, folder)), 2, F.lit(START), task_rows=0)
-    return planned.select("seq", "host", iso(F.col("fetch_at")).alias("fetch_at"))
+    return planned.select("seq.page_id", "seq.pos", "host", iso(F.col("fetch_at")).alias("fetch_at"))
 
 
 # Joins
@@ -679,7 +679,7 @@ def stream_admit_batches(spark, folder):
     out = staging_path(spark, "admitted")
     rows = requests(page_stream(spark, folder))
     _finish(admit_batches(rows, staging_path(spark, "seen"), out, staging_path(spark, "check")))
-    return spark.read.parquet(out).select("seq", "spider", "url", "fp", "dont_filter")
+    return spark.read.parquet(out).select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
 
 
 @query

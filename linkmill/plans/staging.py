@@ -6,6 +6,7 @@ survives the loss of executors, and every reader sees the same rows.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder named in `spark.checkpoint.dir`; a local one only where it is unset."""
+    """The shared folder named in `spark.checkpoint.dir`; on a single machine a local one where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="linkmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

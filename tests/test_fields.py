@@ -48,8 +48,10 @@ def test_parse_date_or(spark):
 
 def test_first_int_and_salary(spark):
     texts = ["阅读(123)评论45", "abc", "", "a\n12", "99999999999999999999", None]
-    assert run(spark, texts, C.first_int) == [123, 0, 0, 0, 0, None]
+    assert run(spark, texts, C.first_int) == [123, 0, 0, 0, None, None]
     assert run(spark, ["25k-30k", "面议"], C.salary_floor) == [25000, 0]
+    assert run(spark, ["a99999999999999999999", "9223372036854775807k"], C.first_int) == [None, 2**63 - 1]
+    assert run(spark, ["a99999999999999999999", "9223372036854775807k", None], C.salary_floor) == [None, None, None]
 
 
 def test_tokens(spark):

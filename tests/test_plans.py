@@ -1,7 +1,5 @@
 """The shape of physical plans: what is read, what moves, what is computed once."""
 
-import re
-
 import __spark_entry__ as entry
 from conftest import rows
 from pyspark.sql import functions as F
@@ -16,12 +14,26 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def shuffled_columns(node):
+    """Names of all columns that any exchange of the plan carries."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return shuffled_columns(node.initialPlan())
+    found = set()
+    if "Exchange" in name:
+        out = node.output()
+        found |= {out.apply(i).name() for i in range(out.size())}
+    for i in range(node.children().size()):
+        found |= shuffled_columns(node.children().apply(i))
+    return found
+
+
 def test_page_text_is_not_shuffled(spark):
     for name in ("admit", "plan_fetch", "carry_meta", "extract_articles", "job_crawl"):
-        text = plan(entry.queries()[name](spark, FOLDER))
-        for line in re.split(r"\n", text):
-            if "Exchange" in line:
-                assert "html" not in line
+        columns = shuffled_columns(entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan())
+        assert "html" not in columns, name
+    columns = shuffled_columns(q.admit_(spark, FOLDER)._jdf.queryExecution().executedPlan())
+    assert {"fp", "spider"} <= columns  # the check sees what exchanges carry
 
 
 def test_pages_are_parsed_once(spark):
