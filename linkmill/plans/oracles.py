@@ -256,7 +256,7 @@ def sql() -> dict[str, str]:
             SELECT url, coalesce({" AND ".join(f"(w{i} & m{i}) <> 0" for i in range(8))}, false) AS maybe_seen
             FROM probes LEFT JOIN bloom USING (block)""",
         "merge_pending": f"""WITH {_FRONTIER} SELECT spider, request_key, arg_max_null(priority, seq) AS priority,
-            min(seq) AS seq, arg_min_null(at, seq) AS at FROM frontier GROUP BY spider, request_key""",
+            min(seq) AS seq, arg_min_null("at", seq) AS "at" FROM frontier GROUP BY spider, request_key""",
         "batch_fifo": _batch("seq", "<="),
         "batch_lifo": _batch("seq DESC", "<="),
         "batch_priority": _batch("priority DESC, seq", "<="),
