@@ -300,13 +300,16 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> tuple[DataFrame, DataFr
     owned = texts.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")))
     words = F.array_join(F.filter(F.split("text", "[ \\x09-\\x0D]+"), lambda w: w != ""), " ")
     owned = owned.where(F.sha2(words.cast("binary"), 256) == F.col("digest")).select("rid", "text", "ranges")
-    owned = Staged(owned, "owned").df
+    temporary = [Staged(owned, "owned")]
+    owned = temporary[-1].df
 
     segments = owned.mapInArrow(_segments(window), "rid long, hash long, segment long, low long, n long")
-    segments = Staged(segments.dropDuplicates(["rid", "low"]), "segments").df
+    temporary.append(Staged(segments.dropDuplicates(["rid", "low"]), "segments"))
+    segments = temporary[-1].df
     kinds = segments.groupBy("hash", "segment").agg(
         F.count("*").alias("weight"), F.min(F.struct("rid", "low", "n")).alias("first"))
-    kinds = Staged(kinds, "kinds").df
+    temporary.append(Staged(kinds, "kinds"))
+    kinds = temporary[-1].df
     sizes = kinds.groupBy("hash").agg(F.count("*").alias("kinds"))
     kinds = kinds.join(sizes, "hash")
     alone = kinds.where("kinds = 1 AND weight > 1")
@@ -320,7 +323,8 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> tuple[DataFrame, DataFr
         return read.dropDuplicates(["hash", "segment"])
 
     small = reference(f"kinds <= {LARGE}").withColumns({"shift": F.lit(0).cast("long"), "piece": F.col("segment")})
-    large = Staged(reference(f"kinds > {LARGE}"), "large").df
+    temporary.append(Staged(reference(f"kinds > {LARGE}"), "large"))
+    large = temporary[-1].df
     each_window = large.mapInArrow(_window_hashes(window),
                                    "hash long, segment long, weight long, at long, fingerprint long")
     recurring = each_window.groupBy("hash", "fingerprint").agg(F.sum("weight").alias("w")).where("w > 1")
@@ -328,7 +332,8 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> tuple[DataFrame, DataFr
         F.collect_list("at").alias("starts"))
     cut = large.join(starts, ["hash", "segment"]).select("hash", "segment", "weight", "words", "starts").mapInArrow(
         _runs(window), "hash long, segment long, weight long, words binary, shift long, piece long")
-    pieces = Staged(small.unionByName(cut), "pieces").df
+    temporary.append(Staged(small.unionByName(cut), "pieces"))
+    pieces = temporary[-1].df
 
     distinct = pieces.groupBy("hash", "piece").agg(F.sum("weight").alias("weight"), F.min("words").alias("words"))
     n_words = pieces.agg(F.sum(F.length("words"))).first()[0] or 0
@@ -343,7 +348,10 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> tuple[DataFrame, DataFr
         F.collect_list(F.struct("low", "mask")).alias("marks"))
     stripped = owned.select("rid", "text").join(marked, "rid").mapInArrow(
         _strip(window), "rid long, n_removed long, kept string")
-    return scanned.select("rid", "doc_id", "n_words", "digest"), stripped.dropDuplicates(["rid"])
+    texts = Staged(stripped.dropDuplicates(["rid"]), "stripped").df
+    for table in temporary:
+        table.drop()
+    return scanned.select("rid", "doc_id", "n_words", "digest"), texts
 
 
 def repeats_report(docs: DataFrame, window: int = 35) -> DataFrame:
