@@ -8,7 +8,9 @@ patterns, and greedy ones for the few pieces left, say which ranks of each class
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,65 +28,116 @@ END_ID = 2
 GAP = 1e-3
 MAX_COLUMNS = 1_000
 RANK_ROWS = 8_192
-_WORDS = 150_000
+# Texts whose new words go to the tokenizer together.
+GROUP_BYTES = 1 << 20
+_WORDS = 200_000
 _MARKS = b".,"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+class Recent(dict):
+    """A dict of the latest entries: the young ones, and those of the generation before."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def age(self) -> None:
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+    def missing(self, keys: set) -> list:
+        """Keys that neither generation has; those of the old one become young."""
+        new = []
+        for key in keys.difference(self):
+            value = self.old.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                self[key] = value
+        return new
+
+
 class WordTokens:
     """Ids of texts, looked up run by run of characters between ASCII white space.
 
     White space never joins its neighbours in this vocabulary, so the ids of a text are those of its
-    runs. Runs of the latest texts are remembered; the others go to the tokenizer.
+    runs. Points and commas after a letter are tokens of their own, and a word of plain letters goes
+    to the vocabulary's model as the tokenizer would spell it; other runs go to the tokenizer.
+    Latest runs and words are remembered.
     """
 
     def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each core has a task already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.bare = Tokenizer(self.tokenizer.model)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _encode(self, runs: list[bytes]) -> None:
-        """Remember the ids of new runs: plain lower-case words need the model only."""
-        plain, other = {}, {}
+        self.letters = _byte_letters()
+        self.runs, self.words = Recent(_WORDS), Recent(_WORDS)
+
+    def _spelling(self, word: str) -> str | None:
+        """How the model sees a word of plain letters; None for all other runs."""
+        if not word.isalpha() or max(word) > "\u017f" or "\u0130" in word:
+            return None
+        word = word.lower()
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+
+    def _learn(self, runs: list[bytes]) -> None:
+        parts, spelled, other = {}, set(), []
         for run in runs:
             word = run.rstrip(_MARKS)
-            ascii_ = word.lower()
-            (plain if ascii_.isalpha() else other).setdefault(ascii_ if ascii_.isalpha() else run, []).append(run)
-        ends = {}
-        for run in runs:
-            word = run.rstrip(_MARKS)
-            mark = run[len(word):]
-            if mark and mark not in ends:
-                ends[mark] = self._ids(self.tokenizer.encode(mark.decode(), add_special_tokens=False))
-        for words, tool in ((plain, self.bare), (other, self.tokenizer)):
-            keys = list(words)
-            found = tool.encode_batch_fast([k.decode("utf-8", "surrogatepass") for k in keys], add_special_tokens=False)
-            for key, e in zip(keys, found):
-                ids = self._ids(e)
-                for run in words[key]:
-                    self.young[run] = ids + ends.get(run[len(run.rstrip(_MARKS)):], b"") if tool is self.bare else ids
+            spelling = self._spelling(word.decode("utf-8", "surrogatepass"))
+            if spelling is None:
+                other.append(run)
+            else:
+                parts[run] = (spelling, run[len(word):])
+                spelled.add(spelling)
+        for mark in {mark for _, mark in parts.values() if mark} - self.words.keys():
+            self.words[mark] = self._ids(self.tokenizer.encode(mark.decode(), add_special_tokens=False))
+        new = self.words.missing(spelled)
+        for key, e in zip(new, self.bare.encode_batch_fast(new, add_special_tokens=False)):
+            self.words[key] = self._ids(e)
+        for run, (spelling, mark) in parts.items():
+            self.runs[run] = self.words[spelling] + self.words[mark] if mark else self.words[spelling]
+        texts = [run.decode("utf-8", "surrogatepass") for run in other]
+        for run, e in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.runs[run] = self._ids(e)
 
     @staticmethod
     def _ids(encoding) -> bytes:
-        return np.array(encoding.ids, "<u4").tobytes()
+        return array("I", encoding.ids).tobytes()
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        runs = text.split()
-        if len(self.young) > _WORDS:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        new = []
-        for run in set(runs).difference(young):
-            ids = old.get(run)
-            if ids is None:
-                new.append(run)
-            else:
-                young[run] = ids
+    def many(self, texts: list[bytes]) -> list[np.ndarray]:
+        self.runs.age()
+        self.words.age()
+        split = [text.split() for text in texts]
+        new = self.runs.missing(set().union(*split))
         if new:
-            self._encode(new)
-        return np.frombuffer(b"".join(map(young.__getitem__, runs)), "<u4")
+            self._learn(new)
+        return [np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), "<u4") for runs in split]
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        return self.many([text])[0]
+
+
+def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in groups of about `GROUP_BYTES`, with the place of the first."""
+    at = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= GROUP_BYTES:
+            yield at, texts[at:i + 1]
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, texts[at:]
 
 
 def _pieces(shared, sequence: int):
@@ -94,11 +147,13 @@ def _pieces(shared, sequence: int):
             cache[text_of] = WordTokens(text_of)
         tokens, end = cache[text_of], np.array([END_ID], "<u4")
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = np.concatenate([tokens(text or b""), end])
-                rows += [(doc_id, at, min(sequence, len(ids) - at), zlib.crc32(ids[at:at + sequence].tobytes()), len(ids))
-                         for at in range(0, len(ids), sequence)]
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            rows, doc_ids = [], batch.column(0).to_pylist()
+            for first, group in _groups(texts):
+                for doc_id, ids in zip(doc_ids[first:], tokens.many(group)):
+                    ids = np.concatenate([ids, end])
+                    rows += [(doc_id, at, min(sequence, len(ids) - at), zlib.crc32(ids[at:at + sequence].tobytes()),
+                              len(ids)) for at in range(0, len(ids), sequence)]
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
