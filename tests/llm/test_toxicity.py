@@ -73,7 +73,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_odd_rows(spark):
-    bad = [(i, f"the {w} here and some vilewretch among us", 1) for i, w in enumerate("abcdefghijkl")]
+    bad = [(i, f"the {w} is a vilewretch to us", 1) for i, w in enumerate("abcdefghijkl")]
     good = [(50 + i, f"quiet words {w} of a calm day in the garden", 0) for i, w in enumerate("abcdefghijklmnop")]
     odd = [(100, None, 0), (101, "", 0), (None, "vilewretch", 1), (102, "x " * 100_000 + "vilewretch", None),
            (103, "vilewretch", None), (103, "vilewretch", None), (104, "vilewretsh", None)]
