@@ -147,7 +147,10 @@ class Matcher(dict):
 
 
 def features(text: str | None, matcher: Matcher) -> tuple[float, float, float]:
-    """Weights of the terms used as such, of misspelt ones, and of those that are cited."""
+    """Weights of all terms that are not cited, of the misspelt ones among them, and of those cited.
+
+    A misspelt term counts as evidence by itself; its own weight corrects that by what labels show.
+    """
     tokens = (text or "").lower().split()
     hits = [(i, x) for i, x in enumerate(map(matcher.__getitem__, tokens)) if x is not None]
     used = misspelt = cited = 0.0
@@ -162,7 +165,7 @@ def features(text: str | None, matcher: Matcher) -> tuple[float, float, float]:
             misspelt += weight
         else:
             used += weight
-    return math.log1p(used), math.log1p(misspelt), math.log1p(cited)
+    return math.log1p(used + misspelt), math.log1p(misspelt), math.log1p(cited)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +197,7 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class ToxicityModel:
     terms: list[Term]
-    weights: list[float]  # constant, used, misspelt, cited
+    weights: list[float]  # constant, all not cited, misspelt ones, cited ones
 
 
 def held_out(doc_id: Column | str) -> Column:
