@@ -20,6 +20,7 @@ from linkmill.llm.common import mix
 
 K, S = 16, 6
 ANCHORS = 64
+FLUSH_ROWS = 1_000
 _BLOCK = 1 << 18
 _BASE = 0x2545F4914F6CDD1D
 _UNBASE = pow(_BASE, -1, 1 << 64)
