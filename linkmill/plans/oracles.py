@@ -65,10 +65,10 @@ _CANONICAL = f"""{_PLAIN} || CASE WHEN contains(split_part(url, '#', 1), '?')
 _FRAGMENT = "CASE WHEN contains(url, '#') THEN '#' || split_part(url, '#', 2) ELSE '' END"
 
 
-def _batch(order: str, keep: str) -> str:
+def _batch(order: str, keep: str, n: int = BATCH) -> str:
     return f"""WITH {_FRONTIER}
 SELECT seq, spider, request_key, priority FROM frontier
-QUALIFY row_number() OVER (PARTITION BY spider ORDER BY {order}) {keep} {BATCH}"""
+QUALIFY row_number() OVER (PARTITION BY spider ORDER BY {order}) {keep} {n}"""
 
 
 def _plan() -> str:
@@ -127,6 +127,12 @@ def sql() -> dict[str, str]:
             false AS dont_filter FROM orders""",
         "extract_links": f"WITH {_LINKS} SELECT page_id, url, pos, href, abs_url FROM links",
         "extract_links_all": f"WITH {_OCCURRENCES} SELECT page_id, url, pos, href, abs_url FROM all_links",
+        "route_links_default": """SELECT page_id, abs_url, rule, CASE WHEN rule <> 'city' THEN 'parse_item' END AS callback,
+            true AS follow FROM (SELECT o_orderkey AS page_id, 'https://h.example/' || CASE o_orderkey % 5
+              WHEN 0 THEN 'jobs/' || o_orderkey || '.html' WHEN 1 THEN 'gongsi/j' || o_orderkey || '.html'
+              ELSE 'guangzhou-zhaopin/' || o_orderkey END AS abs_url,
+              CASE o_orderkey % 5 WHEN 0 THEN 'job' WHEN 1 THEN 'company' ELSE 'city' END AS rule
+            FROM orders WHERE o_orderkey % 5 < 3)""",
         "route_links": f"""WITH {_LINKS}, routed AS (SELECT page_id, abs_url, CASE
               WHEN regexp_matches(abs_url, '/[a-m][a-z]*$') THEN 'article'
               WHEN regexp_matches(abs_url, '%[0-9A-F]{{2}}') THEN 'escaped'
@@ -260,6 +266,7 @@ def sql() -> dict[str, str]:
         "batch_fifo": _batch("seq", "<="),
         "batch_lifo": _batch("seq DESC", "<="),
         "batch_priority": _batch("priority DESC, seq", "<="),
+        "batch_large": _batch("priority DESC, seq", "<=", 5000),
         "batch_rest": _batch("priority DESC, seq", ">"),
         "pending_count": f"WITH {_FRONTIER} SELECT spider, count(*) AS pending FROM frontier GROUP BY spider",
         "plan_fetch": _plan(),
@@ -284,6 +291,7 @@ def sql() -> dict[str, str]:
         "carry_forward_split": _carry(),
         "json_roundtrip": "SELECT * FROM part",
         "item_feed": "SELECT 'parts:items' AS key, p_partkey, p_name, p_size, p_retailprice FROM part",
+        "item_feed_custom": "SELECT 'parts:items' AS key, p_partkey || '|' || p_name AS value FROM part",
         "upsert_articles": _upsert(["value"]),
         "upsert_jobs": _upsert(["value", "props"]),
         "stream_pages": "SELECT page_id, url, md5(html) AS html_md5 FROM pages",
@@ -292,6 +300,12 @@ def sql() -> dict[str, str]:
             SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
             QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id, pos) = 1
             UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter""",
+        "resume": f"""WITH {_REQUESTS}
+            SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
+            QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id % 2, page_id, pos) = 1
+            UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter""",
+        "stream_seeds": """SELECT o_orderkey AS seq, 'http://seed.example.com/' || o_custkey AS url, true AS dont_filter
+            FROM orders""",
         "stream_load": f"""WITH items AS (SELECT page_id, url, md5(url) AS url_object_id, {_H1} AS title,
               {_NAV_TEXT}[6] AS tags FROM pages)
             SELECT arg_min_null(url, page_id) AS url, url_object_id, arg_max_null(title, page_id) AS title,

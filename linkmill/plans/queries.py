@@ -14,14 +14,14 @@ from linkmill.functions import urls as U
 from linkmill.operators import enrich, frontier, quality, records, stats
 from linkmill.operators.bloom import BloomSize, bloom_build, bloom_maybe_contains
 from linkmill.operators.dedup import admit, fingerprint, merge_pending, merge_seen
-from linkmill.operators.links import (ListingSpec, LinkRule, PagerSpec, extract_links, extract_listing,
+from linkmill.operators.links import (JOB_LINK_RULES, ListingSpec, LinkRule, PagerSpec, extract_links, extract_listing,
                                       filter_domains, next_page, route_links)
 from linkmill.operators.nodes import select_nodes, tag_texts
 from linkmill.operators.records import FieldSpec, each, extract_articles, extract_jobs, extract_table
 from linkmill.plans import crawls
 from linkmill.plans.staging import staging_path
 from linkmill.sinks import files, upsert as up
-from linkmill.sources.pages import read_pages, stream_pages
+from linkmill.sources.pages import read_pages, stream_pages, stream_seeds
 from linkmill.sources.seeds import decode_seeds, parse_seed_json, take_seeds
 from linkmill.streaming.admission import admit_batches, stream_admit
 from linkmill.streaming.loading import stream_load
@@ -32,6 +32,7 @@ REGISTRY: dict[str, Query] = {}
 START = dt.datetime(2024, 1, 1)
 DEFAULT_DATE = dt.date(2000, 1, 1)
 BATCH = 100
+LARGE_BATCH = 5_000
 BLOOM = BloomSize.of(capacity=100_000, fpp=1e-8)
 # The link rules of the routing query, by words that occur in the test links.
 RULES = [
@@ -145,6 +146,20 @@ def route_links_(spark, folder):
                                     F.lit("")).alias("wait"))
 
 
+@query
+def route_links_default(spark, folder):
+    """The default job rules over targets of all kinds, one per order."""
+    key = F.col("o_orderkey")
+    kinds = ["jobs/{}.html", "gongsi/j{}.html", "guangzhou-zhaopin/{}", "jobs/{}xhtml", "about/{}"]
+    path = F.lit(None).cast("string")
+    for i, kind in enumerate(kinds):
+        before, after = kind.split("{}")
+        path = F.when(key % len(kinds) == i, F.concat(F.lit(before), key, F.lit(after))).otherwise(path)
+    links = table(spark, folder, "orders").select(key.alias("page_id"), F.concat(F.lit("https://h.example/"), path).alias(
+        "abs_url"))
+    return route_links(links, JOB_LINK_RULES).select("page_id", "abs_url", "rule", "callback", "follow")
+
+
 @query
 def resolve_url_(spark, folder):
     hrefs = F.array(*[F.lit(h) for h in ("c", "../c", "./d/../e", "?q=2", "#z", "//k.example.com/y", "/r", "",
@@ -521,6 +536,13 @@ REGISTRY["batch_priority"] = _batch("priority", 0)
 REGISTRY["batch_rest"] = _batch("priority", 1)
 
 
+@query
+def batch_large(spark, folder):
+    """A batch beyond the size at which ranks are cut before the shuffle."""
+    frontier_ = _frontier(spark, folder).drop("at")
+    return frontier.select_batch(frontier_, LARGE_BATCH)[0]
+
+
 @query
 def pending_count(spark, folder):
     return frontier.pending_count(_frontier(spark, folder))
@@ -628,6 +650,15 @@ def item_feed(spark, folder):
                        read("p_retailprice").cast("double").alias("p_retailprice"))
 
 
+@query
+def item_feed_custom(spark, folder):
+    """A feed with a serializer of one's own."""
+    def line(item: Column) -> Column:
+        return F.concat_ws("|", item["p_partkey"].cast("string"), item["p_name"])
+
+    return files.to_item_feed(table(spark, folder, "part"), "parts", line)
+
+
 def _upsert(spark: SparkSession, folder: str, update_cols: list[str]) -> DataFrame:
     value = F.when(F.col("event_type") != "error", F.col("value"))
     rows = table(spark, folder, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type", "props",
@@ -682,6 +713,28 @@ def stream_admit_batches(spark, folder):
     return spark.read.parquet(out).select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
 
 
+@query
+def resume(spark, folder):
+    """Admission stopped after the first pages and started again when others have come."""
+    source, out = staging_path(spark, "pages"), staging_path(spark, "admitted")
+    seen, check = staging_path(spark, "seen"), staging_path(spark, "check")
+    for half in (0, 1):
+        pages(spark, folder).where(F.col("page_id") % 2 == half).write.mode("append").parquet(source)
+        _finish(admit_batches(requests(stream_pages(spark, source)), seen, out, check))
+    return spark.read.parquet(out).select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
+
+
+@query
+def stream_seeds_(spark, folder):
+    """Seed messages as they come in, decoded."""
+    source, path, check = (staging_path(spark, n) for n in ("seeds", "decoded", "check"))
+    _seed_rows(spark, folder).select("seq", F.encode("member", "UTF-8").alias("data"), "score").write.parquet(source)
+    rows = decode_seeds(stream_seeds(spark, source)).select("seq", "url", "dont_filter")
+    _finish(rows.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True)
+            .start(path))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def stream_load_(spark, folder):
     feed, changes, rejects = (staging_path(spark, n) for n in ("feed", "changes", "rejects"))
