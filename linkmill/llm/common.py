@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 # Random but fixed numbers of the hash functions.
 _RNG = np.random.default_rng(77)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)

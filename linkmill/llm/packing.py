@@ -29,8 +29,8 @@ GAP = 1e-3
 MAX_COLUMNS = 1_000
 RANK_ROWS = 8_192
 # Texts whose new words go to the tokenizer together.
-GROUP_BYTES = 1 << 20
-_WORDS = 200_000
+GROUP_BYTES = 1 << 19
+_WORDS = 80_000
 _MARKS = b".,"
 
 

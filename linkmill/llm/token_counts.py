@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_WORDS = 200_000
+_WORDS = 100_000
 _PARTS = re.compile(r"\w+|[^\w\s]")
 NONE = -1
 

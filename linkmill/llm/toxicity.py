@@ -34,7 +34,7 @@ REPORTING = frozenset((
     "said says saying called calls calling call quote quoted quoting quotes word words term terms wrote writes phrase "
     "dit disait mot mots terme cité citation sagte sagt nannte wort wörter begriff zitat zitiert "
     "dijo dice llamó palabra palabras término cita citó").split())
-_STATES, _WORDS = 50_000, 200_000
+_STATES, _WORDS = 50_000, 100_000
 _WORD = re.compile(r"\w(?:.*\w)?", re.S)
 
 
