@@ -1,8 +1,9 @@
 """Near-duplicate vectors by product quantisation.
 
 Vectors are dealt to inverted lists by coarse centroids, and what is left of each one is
-coded per subspace. A query's distances to all codes of a list are sums of table look-ups;
-those that can reach the threshold are compared by exact cosine.
+coded per subspace. A query's cosines to all codes of a list are sums of table look-ups;
+those that can reach the threshold, by the known angle of each vector to its own code, are
+compared by exact cosine.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +26,12 @@ LIST_ROWS = 1_024
 MAX_LISTS = 256
 CODES = 64
 SUBSPACES = 16
+# Dimensions of a subspace at most: longer vectors have more subspaces.
+WIDTH = 8
 PROBES = 8
 ROUNDS = 8
-# How far an approximate cosine may lie below the threshold before the exact one is left out:
-# times the root mean square error that the codes show on the training vectors.
-SLACK = 5.0
+# For the rounding of cosines added up in single precision.
+ROUNDING = 1e-5
 BLOCK = 1_024
 
 
@@ -62,20 +65,15 @@ class Quantiser:
     coarse: np.ndarray  # lists x dimensions
     books: list[np.ndarray]  # per subspace: codes x its dimensions
     cuts: list[int]  # where the subspaces begin and end
-    slack: float
 
     @classmethod
     def fit(cls, x: np.ndarray, lists: int) -> Quantiser:
         rng = np.random.default_rng(5)
         coarse = _kmeans(x, lists, rng)
         rest = x - coarse[_nearest(x, coarse)]
-        cuts = np.linspace(0, x.shape[1], min(SUBSPACES, x.shape[1]) + 1).astype(int).tolist()
-        books = [_kmeans(rest[:, a:b], CODES, rng) for a, b in zip(cuts, cuts[1:])]
-        error = 0.0
-        for book, a, b in zip(books, cuts, cuts[1:]):
-            error += ((rest[:, a:b] - book[_nearest(rest[:, a:b], book)]) ** 2).sum(1)
-        # The cosine error of a code is at most its distance; on average it is that over the root of the dimension.
-        return cls(coarse, books, cuts, SLACK * float(np.sqrt(np.mean(error) / x.shape[1])))
+        d = x.shape[1]
+        cuts = np.linspace(0, d, min(max(SUBSPACES, -(-d // WIDTH)), d) + 1).astype(int).tolist()
+        return cls(coarse, [_kmeans(rest[:, a:b], CODES, rng) for a, b in zip(cuts, cuts[1:])], cuts)
 
     def lists_of(self, x: np.ndarray, probes: int) -> np.ndarray:
         d = _distances(x, self.coarse)
@@ -89,6 +87,22 @@ class Quantiser:
         return np.column_stack([_nearest(rest[:, a:b], book) for book, a, b in zip(self.books, self.cuts, self.cuts[1:])]
                                ).astype(np.uint8)
 
+    def decoded(self, coarse_list: int, codes: np.ndarray) -> np.ndarray:
+        return self.coarse[coarse_list] + np.column_stack([book[codes[:, s]] for s, book in enumerate(self.books)])
+
+    def bounds(self, x: np.ndarray, coarse_list: int, codes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest approximate cosine of each coded vector with any query whose exact one reaches the threshold.
+
+        A query within angle t of a vector has an angle to the vector's code that differs from the
+        vector's own by at most t, so no pair is lost.
+        """
+        hat = self.decoded(coarse_list, codes)
+        length = np.linalg.norm(hat, axis=1)
+        cosine = np.divide((x * hat).sum(1), length, out=np.zeros(len(x)), where=length > 0)
+        own, t = np.arccos(np.clip(cosine, -1, 1)), np.arccos(np.clip(threshold, -1, 1))
+        return (length * np.cos(np.minimum(own + t, np.pi)) - ROUNDING,
+                length * np.cos(np.maximum(own - t, 0)) + ROUNDING)
+
     def approximate(self, queries: np.ndarray, coarse_list: int, codes: np.ndarray) -> np.ndarray:
         """Cosines of queries and coded vectors of one list: coarse part plus a look-up per subspace."""
         total = np.repeat((queries @ self.coarse[coarse_list])[:, None], len(codes), axis=1).astype(np.float32)
@@ -103,27 +117,37 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _linker(shared, threshold: float):
-    """Compare a block of queries with a block of a list's members; sums per vector and a forest come out."""
+    """Compare a block of queries with a block of a list's members; sums per vector and a forest come out.
+
+    Vectors of a dimension without an index are all compared by exact cosine.
+    """
     names = ["node", "other", "n_links"]
 
     def link(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        tool = shared.value
+        tool = shared.value.get(key[0].as_py())
         table = table.combine_chunks()
         is_query = table["is_query"].to_numpy(zero_copy_only=False)
         ids, weights = table["rep"].to_numpy(), table["n"].to_numpy()
         vectors = _matrix(table["v"].combine_chunks())
-        mine = int(key[0].as_py())
+        mine = int(key[1].as_py())
         lists = np.stack(table["lists"].to_numpy(zero_copy_only=False)) if len(table) else np.empty((0, 1))
         q, m = np.flatnonzero(is_query), np.flatnonzero(~is_query)
         if not len(q) or not len(m):
             return pa.table({n: pa.array([], pa.int64()) for n in names})
-        codes = tool.codes_of(vectors[m], np.full(len(m), mine))
+        if tool is not None:
+            codes = tool.codes_of(vectors[m], np.full(len(m), mine))
+            least, greatest = tool.bounds(vectors[m], mine, codes, threshold)
         a, b = [], []
         for i in range(0, len(q), 256):
             part = q[i:i + 256]
-            x, y = np.nonzero(tool.approximate(vectors[part], mine, codes) >= threshold - tool.slack)
-            for at in range(0, len(x), 65_536):
-                left, right = part[x[at:at + 65_536]], m[y[at:at + 65_536]]
+            if tool is not None:
+                rough = tool.approximate(vectors[part], mine, codes)
+                x, y = np.nonzero((rough >= least) & (rough <= greatest))
+            else:
+                x, y = (i.ravel() for i in np.indices((len(part), len(m))))
+            step = max(1, 4_194_304 // vectors.shape[1])
+            for at in range(0, len(x), step):
+                left, right = part[x[at:at + step]], m[y[at:at + step]]
                 sure = np.einsum("ij,ij->i", vectors[left], vectors[right]) >= threshold
                 a.append(left[sure])
                 b.append(right[sure])
@@ -149,11 +173,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, probes: int = PROB
     Takes vec_id and embedding, whatever else there is. Returns per row: vec_id, n_links (other
     vectors linked directly, copies counted one by one), component_id (smallest vec_id reachable),
     kept. A vector that is null, empty, zero, or has a null or non-finite component links with nothing;
-    vectors of another dimension than the most common one (the larger of equally common ones) link
-    with nothing either. A null vec_id is not linked.
+    vectors link with those of their own dimension only. A null vec_id is not linked.
 
-    Equal vectors are one row of the index with their number. Coarse lists and codebooks are fitted
-    on a bounded sample; each vector is then dealt to its own list and, as a query, to the
+    Equal vectors are one row of the index with their number. Coarse lists and codebooks are fitted per
+    dimension on a bounded sample; a dimension of up to `BLOCK` vectors other than the most common one needs none. Each vector is then dealt to its own list and, as a query, to the
     `probes` nearest ones. Lists are compared in blocks of about `BLOCK` queries by `BLOCK` members, so a list
     of any size is many tasks. A block gives counts and a spanning forest, never its pairs.
     """
@@ -164,8 +187,6 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, probes: int = PROB
     good = F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall(
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & (norm > 0) & (norm < float("inf"))
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
-    dims = rows.where("good").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    rows = rows.withColumn("good", F.col("good") & (F.size("v") == F.lit(dims.d if dims else 0)))
     digest = F.when(F.col("good"), F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))).cast("binary"), 256))
     rows = Staged(rows.select("vec_id", digest.alias("digest"),
                               F.when(F.col("good"), F.transform("v", lambda x: x / norm)).alias("v")), "vectors").df
@@ -175,37 +196,46 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, probes: int = PROB
     reps = Staged(reps.select("rep", "n", "v"), "representatives").df
 
     none = spark.createDataFrame([], "node long, other long, n_links long")
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(TRAINING).select("v").toArrow()
-    if len(sample):
-        lists = max(1, min(MAX_LISTS, reps.count() // LIST_ROWS))
-        tool = Quantiser.fit(_matrix(sample["v"].combine_chunks()), lists)
-        shared = spark.sparkContext.broadcast(tool)
+    reps = reps.withColumn("d", F.size("v"))
+    dims = reps.groupBy("d").count().orderBy(F.desc("count"), F.desc("d")).collect()
+    if dims:
+        tools = {}
+        for i, (d, size) in enumerate(dims):
+            if not i or size > BLOCK:
+                sample = reps.where(F.col("d") == d).orderBy(F.xxhash64("rep"), "rep").limit(TRAINING).select("v").toArrow()
+                tools[d] = Quantiser.fit(_matrix(sample["v"].combine_chunks()), max(1, min(MAX_LISTS, size // LIST_ROWS)))
+        shared = spark.sparkContext.broadcast(tools)
 
         @F.arrow_udf("array<int>")
         def nearest_lists(v: pa.Array) -> pa.Array:
-            found = shared.value.lists_of(_matrix(v), probes)
-            return pa.array(found.tolist(), pa.list_(pa.int32()))
+            sizes, found = pc.list_value_length(v).to_numpy(), [[0]] * len(v)
+            for d in np.unique(sizes).tolist():
+                tool, at = shared.value.get(d), np.flatnonzero(sizes == d)
+                if tool is not None:
+                    for i, lists in zip(at.tolist(), tool.lists_of(_matrix(v.take(pa.array(at))), probes).tolist()):
+                        found[i] = lists
+            return pa.array(found, pa.list_(pa.int32()))
 
         indexed = Staged(reps.withColumn("lists", nearest_lists("v")), "indexed").df
-        members = indexed.groupBy(F.get("lists", F.lit(0)).alias("list")).agg(F.count("*").alias("m"))
-        queries = indexed.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count("*").alias("q"))
+        members = indexed.groupBy("d", F.get("lists", F.lit(0)).alias("list")).agg(F.count("*").alias("m"))
+        queries = indexed.select("d", F.explode("lists").alias("list")).groupBy("d", "list").agg(F.count("*").alias("q"))
         # Blocks of each list, by a hash of the id.
-        plan = queries.join(members, "list").select(
-            "list", F.ceil(F.col("m") / BLOCK).cast("int").alias("m"), F.ceil(F.col("q") / BLOCK).cast("int").alias("q"))
-        plan = F.broadcast(plan)  # at most MAX_LISTS rows
+        plan = queries.join(members, ["d", "list"]).select(
+            "d", "list", F.ceil(F.col("m") / BLOCK).cast("int").alias("m"), F.ceil(F.col("q") / BLOCK).cast("int").alias("q"))
+        plan = F.broadcast(plan)  # at most MAX_LISTS rows per dimension
 
         def block(of: str):
             return F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
 
-        fields = ["list", "mb", "qb", "is_query", "rep", "n", "v", "lists"]
-        of_list = indexed.withColumn("list", F.get("lists", F.lit(0))).join(plan, "list").select(
+        fields = ["d", "list", "mb", "qb", "is_query", "rep", "n", "v", "lists"]
+        of_list = indexed.withColumn("list", F.get("lists", F.lit(0))).join(plan, ["d", "list"]).select(
             "*", block("m").alias("mb"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"))
-        asking = indexed.withColumn("list", F.explode("lists")).join(plan, "list").select(
+        asking = indexed.withColumn("list", F.explode("lists")).join(plan, ["d", "list"]).select(
             "*", block("q").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("mb"))
         both = of_list.withColumn("is_query", F.lit(False)).select(*fields).unionByName(
             asking.withColumn("is_query", F.lit(True)).select(*fields))
 
-        linked = both.groupBy("list", "mb", "qb").applyInArrow(
+        linked = both.groupBy("d", "list", "mb", "qb").applyInArrow(
             _linker(shared, threshold), "node long, other long, n_links long")
         linked = Staged(linked, "linked").df
     else:

@@ -70,3 +70,42 @@ def test_odd_vectors(spark):
                                  "vec_id long, embedding array<double>")
     assert sorted(map(repr, map(tuple, nv.near_vectors(lone.limit(1)).collect()))) == ["(None, 0, None, False)"]
     assert sum(r.n_links for r in nv.near_vectors(lone).collect()) == 0
+
+
+def clustered(d, rng, n=1500):
+    """Unit vectors around 40 centres, every third one followed by a copy at cosine 0.951 to 0.99."""
+    centres = rng.normal(size=(40, d))
+    x = nv.unit(centres[rng.integers(0, 40, n)] + rng.normal(size=(n, d)) * 0.7)
+    for i in range(0, n - 1, 3):
+        side = rng.normal(size=d)
+        side = nv.unit((side - side @ x[i] * x[i])[None])[0]
+        c = rng.uniform(0.951, 0.99)
+        x[i + 1] = c * x[i] + np.sqrt(1 - c * c) * side
+    return x
+
+
+def test_pre_filter_loses_no_near_pair_of_long_vectors():
+    for d in (24, 64, 128, 256, 384, 768):
+        x = clustered(d, np.random.default_rng(d))
+        tool = nv.Quantiser.fit(x, 1)
+        codes = tool.codes_of(x, np.zeros(len(x), int))
+        least, greatest = tool.bounds(x, 0, codes, 0.95)
+        rough, near = tool.approximate(x, 0, codes), x @ x.T >= 0.95
+        kept = (rough >= least) & (rough <= greatest)
+        assert near.sum() >= len(x) + 900 and kept[near].all()
+        assert kept.mean() < 0.25
+
+
+def test_long_vectors_of_several_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(nv, "LIST_ROWS", 100)
+    monkeypatch.setattr(nv, "BLOCK", 400)
+    rows, want = [], []
+    for k, (d, n) in enumerate(((128, 900), (384, 600), (768, 900), (5, 40), (64, 300))):
+        part = [(10_000 * k + i, v.tolist()) for i, v in enumerate(clustered(d, np.random.default_rng(k), n))]
+        rows += part
+        want += brute(part)
+    got = sorted(map(tuple, nv.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert [g[0] for g in got] == [w[0] for w in want] and all(g[1] <= w[1] for g, w in zip(got, want))
+    for k in range(5):
+        a, b = (sum(x[1] for x in r if x[0] // 10_000 == k) for r in (got, want))
+        assert a >= 0.99 * b > 0
