@@ -28,12 +28,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies.
+    """Keep one row of each group of near copies: the one with the smallest id, rows without an id last.
 
-    Rows that repeat an id are one document and stay or go together; a row without an id stays.
+    Every row counts for itself, so of rows that repeat an id, or have none, one stays if they are copies.
     """
-    gone = near_duplicates(docs, SIMILAR_PERCENT).where("NOT kept AND doc_id IS NOT NULL")
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    columns = [f"`{c}`" for c in docs.columns]
+    # What numbers rows must be written: another reading could number them differently.
+    rows = Staged(docs.select(F.monotonically_increasing_id().alias("_row"), *columns), "numbered").df
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), SIMILAR_PERCENT)
+    ids = rows.select("_row", F.col("doc_id").cast("long").alias("_id"))
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").join(ids, "_row")
+    first = F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_row"))
+    kept = found.groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = found.join(kept, "component_id").where("_row <> first._row")
+    return rows.join(gone.select("_row"), "_row", "left_anti").select(*columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

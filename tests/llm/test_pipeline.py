@@ -78,3 +78,22 @@ def test_run_over_odd_rows(spark, tmp_path):
     spark.createDataFrame([(3, 1, 0), (None, 1, 1), (1, 0, None)], "doc_id long, quality int, toxic int").write.parquet(
         f"{folder}/labels.parquet")
     assert cp.run(spark, folder).count() > 0
+
+
+def test_one_row_of_repeated_rows_stays(spark, tmp_path):
+    texts = [" ".join(f"{name}{i}" for i in range(100)) for name in "abcd"]
+    rows = [(7, texts[0]), (7, texts[0]), (None, texts[1]), (9, texts[1]), (None, texts[2]), (None, texts[2]),
+            (5, texts[3]), (4, texts[3] + " more"), (5, "quite another text"), (None, None), (None, "")]
+    folder = f"{tmp_path}/repeated"
+    spark.createDataFrame([(d, t, "en", "a", len(t or "")) for d, t in rows],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{folder}/documents.parquet")
+    spark.createDataFrame([(7, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    want = sorted(map(repr, [(7, texts[0]), (9, texts[1]), (None, texts[2]), (4, texts[3] + " more"),
+                             (5, "quite another text"), (None, None), (None, "")]))
+    near = cp.Staged(cp.drop_near_duplicates(spark, docs, folder), "t").df
+    assert sorted(repr((r.doc_id, r.text)) for r in near.collect()) == want
+    cut = cp.cut_repeats(spark, near, folder)
+    assert sorted(repr((r.doc_id, r.text)) for r in cut.collect()) == want
+    assert {7, 9, None} <= {r.doc_id for r in cp.run(spark, folder).collect()}
