@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 import pytest
 import zstandard as z
@@ -63,3 +64,32 @@ def test_odd_rows(spark):
     got = sorted(repr((r.doc_id, r.licence)) for r in scan_licences(frame).collect())
     assert got == sorted(["(None, 'MIT')", "(3, 'MIT')", "(3, 'MIT')", "(4, 'MIT')"])
     assert scan_licences(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("width", [40, 80])
+@pytest.mark.parametrize("licence, text", TEMPLATES)
+def test_wrapped_templates_are_found(licence, text, width):
+    for mark in ("", "# ", " * ", "    "):
+        lines = textwrap.wrap(text, width, initial_indent=mark, subsequent_indent=mark)
+        for end in ("\n", "\r\n"):
+            around = f"some words before{end}{end}{end.join(lines)}{end}{end}some words after"
+            found = SCANNER.scan(around)
+            assert [m.licence for m in found] == [licence]
+            assert found[0].differences == "" and around[found[0].start:].split()[0].strip("#*") in text
+
+
+def test_every_notice_of_a_line_is_found():
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    text = f"{apache} {mit}"
+    assert [(m.licence, text[m.start:m.start + m.length] + ".") for m in SCANNER.scan(text)] == [
+        ("Apache-2.0", apache), ("MIT", mit)]
+    shuffled = [t for t in TEMPLATES * 5]
+    random.Random(1).shuffle(shuffled)
+    for gap in (0, 3, 20, 70):
+        between = " ".join(["word"] * gap)
+        text = f" {between} ".join(t for _, t in shuffled)
+        assert [m.licence for m in SCANNER.scan(text)] == [name for name, _ in shuffled]
+    text = " ".join(f"{'filler ' * 50}license" for _ in range(40)) + f" {mit} " + "copyright filler " * 40 + apache
+    assert [m.licence for m in SCANNER.scan(text)] == ["MIT", "Apache-2.0"]
+    turkish = "İ İİ license by İstanbul: " + mit
+    assert [(m.licence, turkish[m.start:]) for m in SCANNER.scan(turkish)] == [("MIT", mit)]
