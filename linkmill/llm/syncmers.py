@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from linkmill.llm.common import mix
 
 K, S = 16, 6
+# From this length on every text has an anchor: one of any K - S mers that follow each other is one.
+SURE = 2 * K - S - 1
 ANCHORS = 64
 FLUSH_ROWS = 1_000
 _BLOCK = 1 << 18
@@ -61,13 +63,13 @@ class Syncmers:
     def anchors(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Up to `ANCHORS` distinct hashes in ascending order with the first place of each.
 
-        A text shorter than `K` uses shorter mers, all of them anchors.
+        A text shorter than `SURE` uses shorter mers, all of them anchors.
         """
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(codes)
         if n == 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
-        k, s = (K, S) if n >= K else ((n + 2) // 3, (n + 2) // 3)
+        k, s = (K, S) if n >= SURE else ((n + 2) // 3, (n + 2) // 3)
         kept, places = np.empty(0, np.uint64), np.empty(0, np.int64)
         for start in range(0, n - k + 1, _BLOCK):
             hashes, at = self._block(codes[start:start + _BLOCK + k - 1], k, s)

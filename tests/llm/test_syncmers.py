@@ -86,3 +86,15 @@ def test_odd_rows(spark):
     assert sy.fingerprint_documents(frame.limit(0)).count() == 0
     one = sy.fingerprint_documents(frame.where("doc_id = 9")).first()
     assert (one.near_edited, one.near_next) == (1.0, 1.0)
+
+
+def test_short_texts_have_anchors():
+    tool, rng = sy.Syncmers(), np.random.default_rng(4)
+    finger = lambda t: sy.encode(tool.anchors(t))
+    for n in range(1, 40):
+        for _ in range(100):
+            a, b = ("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n)) for _ in range(2))
+            assert finger(a) and sy.likeness(finger(a), "") == 0 and sy.likeness(finger(a), finger(a)) == 1
+            assert a == b or n < 4 or sy.likeness(finger(a), finger(b)) < 0.5
+    assert sy.likeness(finger("the cat sat on the mat"), finger("the cat sat on the hat")) > 0.5
+    assert finger("a" * 24) and finger("a" * 25)
