@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkmill.llm.byte_pairs import encoding_report, read_ranks
 from linkmill.llm.licences import scan_licences
 from linkmill.llm.mixing import mixture_report
 from linkmill.llm.near_text import near_duplicates
@@ -133,6 +134,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = read_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
+    return encoding_report(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def named_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
