@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import json
 import struct
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
@@ -21,10 +22,6 @@ from pyspark.sql import functions as F
 
 #: Text bytes of the documents whose words are made distinct together.
 CHUNK_BYTES = 32 << 20
-#: Low bits that hold a position beside a rank.
-PLACE = 31
-#: Groups of token pairs in the layout of the rank map.
-GROUPS = 1 << 16
 LATIN = "ISO-8859-1"
 #: White space as the tokenizers have it; Java's \s knows ASCII only.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -75,9 +72,8 @@ class BytePairs:
     itself is that token. Every single byte must have a rank.
 
     The rank map leads from a pair of tokens to the rank of their joined bytes. As Spark
-    searches a map entry by entry, it is laid out in arrays. Pair x = a * (number of tokens) + b
-    is in group x % GROUPS, whose shift was chosen so that all its pairs got free places:
-    its rank is value[x % spread + shift[x % GROUPS]] if the owner there is x.
+    searches a map entry by entry, it is one small map per token: a pair is held by the
+    token that has fewer pairs, so that tokens with very many have few entries of their own.
     """
 
     def __init__(self, ranks: Mapping[bytes, int]):
@@ -86,65 +82,55 @@ class BytePairs:
         if sorted(ranks.values()) != list(range(len(ranks))):
             raise ValueError("ranks must be the numbers from 0")
         self.pieces = [""] * len(ranks)
-        joined: dict[int, int] = {}
+        pairs = []
         for token, rank in ranks.items():
             self.pieces[rank] = token.decode(LATIN)
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
-                    joined[a * len(ranks) + b] = rank
+                    pairs.append((rank, a, b))
         self.single = [ranks[bytes([b])] for b in range(256)]
         # Tokens that merging does not reach; there are none in a trained vocabulary.
         self.apart = {t.decode(LATIN): r for t, r in ranks.items() if merged(t, ranks) != [r]}
-        self.spread = 2 * len(joined) + 1
-        while not self._placed(joined):
-            self.spread += 2
-
-    def _placed(self, joined: Mapping[int, int]) -> bool:
-        """Lay out the rank map; False if the pairs of a group cannot be told apart."""
-        groups: dict[int, list[int]] = {}
-        for x in joined:
-            groups.setdefault(x % GROUPS, []).append(x)
-        rng = np.random.default_rng(11)
-        self.owner, self.value = [-1] * (2 * self.spread), [0] * (2 * self.spread)
-        self.shift = [0] * GROUPS
-        for group, pairs in sorted(groups.items(), key=lambda g: -len(g[1])):
-            places = [x % self.spread for x in pairs]
-            if len(set(places)) < len(places):
-                return False
-            while True:
-                at = int(rng.integers(0, self.spread))
-                if all(self.owner[at + p] < 0 for p in places):
-                    break
-            self.shift[group] = at
-            for x, p in zip(pairs, places):
-                self.owner[at + p], self.value[at + p] = x, joined[x] << PLACE
-        return True
+        left, right = Counter(a for _, a, _ in pairs), Counter(b for _, _, b in pairs)
+        self.by_left: list[list[list[int]]] = [[] for _ in self.pieces]
+        self.by_right: list[list[list[int]]] = [[] for _ in self.pieces]
+        for rank, a, b in sorted(pairs):  # frequent pairs, which have low ranks, are found first
+            if left[a] <= right[b]:
+                self.by_left[a].append([b, rank])
+            else:
+                self.by_right[b].append([a, rank])
+
+    @staticmethod
+    def _maps(rows: list[list[list[int]]]) -> Column:
+        """A map per token from a literal."""
+        entries = [[{"other": other, "rank": rank} for other, rank in row] for row in rows]
+        return F.transform(_literal(entries, "array<array<struct<other:int,rank:int>>>"), F.map_from_entries)
 
     def encode(self, words: Column) -> Column:
         """Ids of each word of an array of words: a fold over the merges of each."""
-        def with_tables(single: Column, shift: Column, owner: Column, value: Column) -> Column:
-            def best(parts: Column) -> Column:
-                """Lowest rank of neighbours with its first position, or null."""
-                def of_pair(a: Column, i: Column) -> Column:
-                    x = a * F.lit(len(self.pieces)) + F.get(parts, i + 1)
-                    at = ((x % self.spread) + F.get(shift, (x % GROUPS).cast("int"))).cast("int")
-                    return F.when(F.get(owner, at) == x, F.get(value, at) + i)
-
-                return F.array_min(F.transform(parts, of_pair))
+        def with_tables(single: Column, by_left: Column, by_right: Column) -> Column:
+            def rank(a: Column, b: Column) -> Column:
+                return F.coalesce(F.try_element_at(F.get(by_left, a), b), F.try_element_at(F.get(by_right, b), a))
 
             def state(parts: Column) -> Column:
-                return F.struct(parts.alias("parts"), best(parts).alias("best"))
+                """The tokens and the ranks of neighbours; null where there is none."""
+                return F.struct(parts.alias("parts"), F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), rank).alias("ranks"))
 
             def merge(s: Column, _: Column) -> Column:
-                at, rank = s.best.bitwiseAND(F.lit((1 << PLACE) - 1)), F.shiftright(s.best, PLACE)
-                put = F.transform(s.parts, lambda x, i: F.when(i == at, rank).when(i == at + 1, -1).otherwise(x))
-                return F.when(s.best.isNull(), s).otherwise(let(F.filter(put, lambda x: x >= 0), state))
+                def at(low: Column) -> Column:
+                    return F.when(low.isNull(), s).otherwise(let(F.array_position(s.ranks, low), lambda i: let(put(low, i), state)))
+
+                def put(low: Column, i: Column) -> Column:
+                    new = F.transform(s.parts, lambda x, j: F.when(j == i, F.lit(None)).when(j + 1 == i, low).otherwise(x))
+                    return F.filter(new, lambda x: x.isNotNull())
+
+                return let(F.array_min(s.ranks), at)
 
             def fold(word: Column) -> Column:
                 parts = F.transform(F.split(word, ""), lambda c: F.get(single, F.ascii(c)))
                 return let(parts, lambda p: F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(p), F.lit(2))), state(p),
-                                                        merge, lambda s: s.parts.cast("array<int>")))
+                                                        merge, lambda s: s.parts))
 
             def ids(word: Column) -> Column:
                 if not self.apart:
@@ -154,10 +140,9 @@ class BytePairs:
 
             return F.transform(words, lambda w: let(F.decode(F.encode(w, "UTF-8"), LATIN), ids))
 
-        return let(_literal(self.single, "array<bigint>"), lambda single: let(
-            _literal(self.shift, "array<bigint>"), lambda shift: let(
-                _literal(self.owner, "array<bigint>"), lambda owner: let(
-                    _literal(self.value, "array<bigint>"), lambda value: with_tables(single, shift, owner, value)))))
+        return let(_literal(self.single, "array<int>"), lambda single: let(
+            self._maps(self.by_left), lambda by_left: let(
+                self._maps(self.by_right), lambda by_right: with_tables(single, by_left, by_right))))
 
     def _joined(self, ids: Column, names: list[str]) -> Column:
         found = let(_literal(names, "array<string>"), lambda all_: F.transform(ids, lambda i: F.get(all_, i)))
