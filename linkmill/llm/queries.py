@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkmill.llm.alignment import align_documents
 from linkmill.llm.byte_pairs import encoding_report, read_ranks
 from linkmill.llm.licences import scan_licences
 from linkmill.llm.mixing import mixture_report
@@ -13,6 +14,7 @@ from linkmill.llm.near_text import near_duplicates
 from linkmill.llm.near_vectors import near_vectors
 from linkmill.llm.packing import pack_documents
 from linkmill.llm.preference import format_preferences, pair_conversations, spans_text
+from linkmill.llm.ranked_search import search
 from linkmill.llm.substrings import repeats_report
 from linkmill.llm.syncmers import fingerprint_documents
 from linkmill.llm.token_counts import read_pieces, token_counts
@@ -142,6 +144,46 @@ def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_report(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)
+
+
+SQL["op12_ranked_search"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS terms FROM documents),
+sizes AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM texts WHERE len(terms) > 0),
+items AS (
+  SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS q FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark) GROUP BY ALL),
+held AS (
+  SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM texts)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, sizes GROUP BY term),
+scores AS (
+  SELECT i, item_id, r, doc_id,
+         CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // words))))) AS BIGINT) AS score
+  FROM items JOIN held USING (term) JOIN weights USING (term), sizes GROUP BY i, item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f, open(tokenizer_path("piece_bpe_32k.model"), "rb") as g:
+        return align_documents(table(spark, folder, "documents"), f.read(), g.read(), public_tokenizers.PATTERN)
+
+
 def named_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
