@@ -20,14 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkmill.llm.byte_pairs import split_words
-from linkmill.llm.common import Staged, process_cache
+from linkmill.llm.common import Staged, gathered, process_cache, run_bounds
 
 #: Text bytes whose distinct words are tokenised together, and whose tokens are aligned together.
-CHUNK_BYTES, SLICE_BYTES = 16 << 20, 1 << 20
+CHUNK_BYTES, SLICE_BYTES = 8 << 20, 1 << 19
 #: Links of a chunk of documents that share one list of id pairs; pairs of a row of that list.
-CHUNK_LINKS, LIST_PAIRS = 1 << 21, 1 << 16
+CHUNK_LINKS, LIST_PAIRS = 1 << 20, 1 << 16
+#: Words that a tokenizer gets at a time; what it returns is much larger than their ids.
+WORDS = 2048
 #: Links that are multiplied out at a time.
-PRODUCT = 1 << 22
+PRODUCT = 1 << 20
 SPACE = "▁"
 
 
@@ -60,20 +62,10 @@ class Matrix:
         return row[new], column[new], np.add.reduceat(value, np.flatnonzero(new))
 
 
-def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Positions of runs that begin at `starts`, one after the other."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
-def runs(sizes: np.ndarray) -> np.ndarray:
-    return np.concatenate(([0], np.cumsum(sizes)))
-
-
 def overlaps(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token of A, token of B and their common bytes, for tokens of the given sizes over the same bytes."""
     total = int(a_sizes.sum())
-    a = Matrix(runs(a_sizes), np.arange(total))
+    a = Matrix(run_bounds(a_sizes), np.arange(total))
     b_turned = Matrix(np.arange(total + 1), np.repeat(np.arange(len(b_sizes)), b_sizes))
     return a.times(b_turned)
 
@@ -152,11 +144,15 @@ def byte_alphabet() -> dict[str, int]:
 def encoded(words: pa.Array, encode, table: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For the words of many texts: word codes, bounds of each code's ids, ids, and whether the ids spell the word."""
     coded = words.dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    ids = encode(distinct)
-    exact = np.array([b"".join(map(table.__getitem__, x)) == w.encode() for w, x in zip(distinct, ids)], bool)
-    flat = np.fromiter((i for x in ids for i in x), np.int64)
-    return np.asarray(coded.indices), runs(np.array([len(x) for x in ids], np.int64)), flat, exact
+    sizes, flat, exact = [], [], []
+    for at in range(0, len(coded.dictionary), WORDS):
+        some = coded.dictionary.slice(at, WORDS).to_pylist()
+        ids = encode(some)
+        exact += [b"".join(map(table.__getitem__, x)) == w.encode() for w, x in zip(some, ids)]
+        sizes += map(len, ids)
+        flat.append(np.fromiter((i for x in ids for i in x), np.int32))
+    ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+    return np.asarray(coded.indices), run_bounds(np.array(sizes, np.int64)), ids, np.array(exact, bool)
 
 
 class Aligned:
@@ -216,7 +212,7 @@ def _align_slice(ids: pa.Array, a: tuple, b: tuple, voc: Vocabularies, names: pa
         good = usable[doc]
         codes, doc = codes[good], doc[good]
         counts = np.diff(starts)[codes]
-        tokens.append(flat[gathered(starts[codes], counts)])
+        tokens.append(flat[gathered(starts[codes], counts)].astype(np.int64))
         owner.append(np.repeat(doc, counts))
         size.append(lengths[tokens[-1]])
     of_a, of_b = groups(*size)
@@ -240,7 +236,7 @@ def _align_slice(ids: pa.Array, a: tuple, b: tuple, voc: Vocabularies, names: pa
     text = names.take(pa.array(order)).cast(pa.large_binary())
     ends = np.frombuffer(text.buffers()[1], np.int64)[:len(text) + 1] if len(text) else np.zeros(1, np.int64)
     data = memoryview(text.buffers()[2]) if len(text) and text.buffers()[2] is not None else memoryview(b"")
-    edges = ends[runs(figures["n_a"] + figures["n_b"])].tolist()
+    edges = ends[run_bounds(figures["n_a"] + figures["n_b"])].tolist()
     shas = [hashlib.sha256(data[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(edges, edges[1:])]
 
     found = [(doc_of_group[g], x << 32 | y, links) for g, x, y, links in shared_links(
@@ -253,7 +249,7 @@ def _align_slice(ids: pa.Array, a: tuple, b: tuple, voc: Vocabularies, names: pa
         new = np.append(True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))
         doc, pair, links = doc[new], pair[new], np.add.reduceat(links, np.flatnonzero(new))
     out.docs.append((ids, figures, shas))
-    out.links.append((doc + out.n, pair, links))
+    out.links.append(((doc + out.n).astype(np.int32), pair, links))
     out.n += n
     out.size += len(doc)
 

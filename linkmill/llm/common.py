@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import types
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,27 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in `spark.checkpoint.dir`; one of our own only where it is unset, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="linkmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_open: list[list[Staged]] = []
+
+
+@contextmanager
+def staged_here() -> Iterator[list[Staged]]:
+    """All tables that are staged meanwhile, by whatever operator, for one who knows when they are done with."""
+    tables: list[Staged] = []
+    _open.append(tables)
+    try:
+        yield tables
+    finally:
+        _open.remove(tables)
+
+
 class Staged:
     """A table written once to the shared folder; `drop()` deletes it when nothing reads it any more."""
 
@@ -43,6 +59,8 @@ class Staged:
         self.path = f"{shared_folder(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        for tables in _open:
+            tables.append(self)
 
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -141,6 +159,17 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def run_bounds(sizes: np.ndarray) -> np.ndarray:
+    """Where runs of the given sizes begin, and the end of the last."""
+    return np.concatenate(([0], np.cumsum(sizes)))
+
+
+def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of runs that begin at `starts`, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 

@@ -74,6 +74,7 @@ def test_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(alignment, "SLICE_BYTES", 60)
     monkeypatch.setattr(alignment, "CHUNK_BYTES", 150)
     monkeypatch.setattr(alignment, "PRODUCT", 5)
+    monkeypatch.setattr(alignment, "WORDS", 3)
     texts = ["", None, " ", "   two  blanks ", "tab\tand\nline\r\n", "<s>x</s><|endoftext|><0x41>", "▁mark", "naïve 日本語 ①ﬁ 😀",
              "=" * 90, "the the the the", "The cat's 1234", "\0\x01", "a b　c", "under ▁ score"]
     docs = [(i, t) for i, t in enumerate(texts)] + [(None, "the cat"), (9, "the cat"), (9, "the cat")]
