@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import Staged, process_cache
+from linkmill.llm.common import Staged, gathered, process_cache, run_bounds
 
 SEQUENCE = 4_096
 GRAIN = 8
@@ -28,10 +29,12 @@ END_ID = 2
 GAP = 1e-3
 MAX_COLUMNS = 1_000
 RANK_ROWS = 8_192
-# Texts whose new words go to the tokenizer together.
-GROUP_BYTES = 1 << 19
-_WORDS = 80_000
-_MARKS = b".,"
+# Text bytes whose runs are made distinct together, and whose ids are put together.
+CHUNK_BYTES, SLICE_BYTES = 1 << 24, 1 << 20
+# Runs that the tokenizer gets at a time; what it returns is much larger than their ids.
+RUNS = 2_048
+_MARKS = ".,"
+_PLAIN = "^[\\x{41}-\\x{5A}\\x{61}-\\x{7A}\\x{AA}-\\x{12F}\\x{131}-\\x{17F}]+$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -41,37 +44,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-class Recent(dict):
-    """A dict of the latest entries: the young ones, and those of the generation before."""
-
-    def __init__(self, size: int):
-        super().__init__()
-        self.size, self.old = size, {}
-
-    def age(self) -> None:
-        if len(self) > self.size:
-            self.old = dict(self)
-            self.clear()
-
-    def missing(self, keys: set) -> list:
-        """Keys that neither generation has; those of the old one become young."""
-        new = []
-        for key in keys.difference(self):
-            value = self.old.get(key)
-            if value is None:
-                new.append(key)
-            else:
-                self[key] = value
-        return new
-
-
 class WordTokens:
     """Ids of texts, looked up run by run of characters between ASCII white space.
 
     White space never joins its neighbours in this vocabulary, so the ids of a text are those of its
     runs. Points and commas after a letter are tokens of their own, and a word of plain letters goes
     to the vocabulary's model as the tokenizer would spell it; other runs go to the tokenizer.
-    Latest runs and words are remembered.
+    Runs, and then words, are made distinct by Arrow, so Python works per distinct word.
     """
 
     def __init__(self, tokenizer: str):
@@ -81,63 +60,79 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.bare = Tokenizer(self.tokenizer.model)
         self.letters = _byte_letters()
-        self.runs, self.words = Recent(_WORDS), Recent(_WORDS)
 
-    def _spelling(self, word: str) -> str | None:
-        """How the model sees a word of plain letters; None for all other runs."""
-        if not word.isalpha() or max(word) > "\u017f" or "\u0130" in word:
-            return None
-        word = word.lower()
+    @staticmethod
+    def _ids(tokenizer, texts: pa.Array, spell=None) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of texts."""
+        sizes, flat = [], array("I")
+        for at in range(0, len(texts), RUNS):
+            some = texts.slice(at, RUNS).to_pylist()
+            for e in tokenizer.encode_batch_fast(list(map(spell, some)) if spell else some, add_special_tokens=False):
+                ids = e.ids
+                sizes.append(len(ids))
+                flat.extend(ids)
+        return np.array(sizes, np.int64), np.frombuffer(flat, "<u4") if flat else np.zeros(0, "<u4")
+
+    def _spelling(self, word: str) -> str:
+        """How the model sees a word of plain letters."""
         return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
 
-    def _learn(self, runs: list[bytes]) -> None:
-        parts, spelled, other = {}, set(), []
-        for run in runs:
-            word = run.rstrip(_MARKS)
-            spelling = self._spelling(word.decode("utf-8", "surrogatepass"))
-            if spelling is None:
-                other.append(run)
-            else:
-                parts[run] = (spelling, run[len(word):])
-                spelled.add(spelling)
-        for mark in {mark for _, mark in parts.values() if mark} - self.words.keys():
-            self.words[mark] = self._ids(self.tokenizer.encode(mark.decode(), add_special_tokens=False))
-        new = self.words.missing(spelled)
-        for key, e in zip(new, self.bare.encode_batch_fast(new, add_special_tokens=False)):
-            self.words[key] = self._ids(e)
-        for run, (spelling, mark) in parts.items():
-            self.runs[run] = self.words[spelling] + self.words[mark] if mark else self.words[spelling]
-        texts = [run.decode("utf-8", "surrogatepass") for run in other]
-        for run, e in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.runs[run] = self._ids(e)
-
-    @staticmethod
-    def _ids(encoding) -> bytes:
-        return array("I", encoding.ids).tobytes()
-
-    def many(self, texts: list[bytes]) -> list[np.ndarray]:
-        self.runs.age()
-        self.words.age()
-        split = [text.split() for text in texts]
-        new = self.runs.missing(set().union(*split))
-        if new:
-            self._learn(new)
-        return [np.frombuffer(b"".join(map(self.runs.__getitem__, runs)), "<u4") for runs in split]
+    def distinct(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each run's ids begin (and the end of the last), and the ids."""
+        words = pc.ascii_rtrim(runs, characters=_MARKS)
+        plain = pc.and_(pc.utf8_is_alpha(words), pc.match_substring_regex(words, _PLAIN))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        spelled = pc.utf8_lower(words.filter(plain)).dictionary_encode()
+        n_marks = pc.subtract(pc.binary_length(runs), pc.binary_length(words)).to_numpy()[is_plain]
+        marks = pa.array([r[len(r) - n:] if n else "" for r, n in zip(runs.filter(plain).to_pylist(), n_marks.tolist())],
+                         pa.string()).dictionary_encode()
+        parts = []  # (places, where their ids begin in the source, sizes, source)
+        size = np.zeros(len(runs), np.int64)
+        for places, coded, found in (
+                (np.flatnonzero(is_plain), np.asarray(spelled.indices), self._ids(self.bare, spelled.dictionary, self._spelling)),
+                (np.flatnonzero(is_plain), np.asarray(marks.indices), self._ids(self.tokenizer, marks.dictionary)),
+                (np.flatnonzero(~is_plain), None, self._ids(self.tokenizer, runs.filter(pc.invert(plain))))):
+            sizes, ids = found
+            coded = np.arange(len(places)) if coded is None else coded
+            parts.append((places, run_bounds(sizes)[:-1][coded], sizes[coded], ids, size[places]))
+            size[places] += sizes[coded]
+        starts = run_bounds(size)
+        out = np.empty(starts[-1], "<u4")
+        for places, source, sizes, ids, before in parts:
+            out[gathered(starts[places] + before, sizes)] = ids[gathered(source, sizes)]
+        return starts, out
+
+    def texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text in turn; null counts as empty."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        bounds = np.asarray(split.offsets).astype(np.int64)
+        coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds = bounds - bounds[0]
+        codes = np.asarray(coded.indices)
+        starts, ids = self.distinct(coded.dictionary.cast(pa.large_string()))
+        sizes = np.diff(starts)
+        row, most = 0, SLICE_BYTES // 4
+        while row < len(texts):
+            end = min(len(texts), max(row + 1, int(np.searchsorted(bounds, bounds[row] + most, "right")) - 1))
+            some = codes[bounds[row]:bounds[end]]
+            found = ids[gathered(starts[some], sizes[some])]
+            at = run_bounds(sizes[some])[bounds[row:end + 1] - bounds[row]]
+            for i in range(end - row):
+                yield found[at[i]:at[i + 1]]
+            row = end
 
     def __call__(self, text: bytes) -> np.ndarray:
-        return self.many([text])[0]
+        return next(self.texts(pa.array([text.decode("utf-8", "surrogatepass")])))
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts in groups of about `GROUP_BYTES`, with the place of the first."""
-    at = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= GROUP_BYTES:
-            yield at, texts[at:i + 1]
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, texts[at:]
+def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in slices of about `CHUNK_BYTES`."""
+    ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))))
+    row = 0
+    while row < len(texts):
+        end = min(len(texts), max(row + 1, int(np.searchsorted(ends, ends[row] + CHUNK_BYTES, "right")) - 1))
+        yield texts.slice(row, end - row)
+        row = end
 
 
 def _pieces(shared, sequence: int):
@@ -147,13 +142,12 @@ def _pieces(shared, sequence: int):
             cache[text_of] = WordTokens(text_of)
         tokens, end = cache[text_of], np.array([END_ID], "<u4")
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             rows, doc_ids = [], batch.column(0).to_pylist()
-            for first, group in _groups(texts):
-                for doc_id, ids in zip(doc_ids[first:], tokens.many(group)):
-                    ids = np.concatenate([ids, end])
-                    rows += [(doc_id, at, min(sequence, len(ids) - at), zlib.crc32(ids[at:at + sequence].tobytes()),
-                              len(ids)) for at in range(0, len(ids), sequence)]
+            found = (ids for chunk in _chunks(batch.column(1)) for ids in tokens.texts(chunk))
+            for doc_id, ids in zip(doc_ids, found):
+                ids = np.concatenate([ids, end])
+                rows += [(doc_id, at, min(sequence, len(ids) - at), zlib.crc32(ids[at:at + sequence].tobytes()),
+                          len(ids)) for at in range(0, len(ids), sequence)]
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
@@ -219,6 +213,22 @@ def _first_basis(present: np.ndarray, demand: np.ndarray, capacity: int) -> tupl
     return columns, amounts
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by elimination, one step per class. It needs no threads of a linear algebra library, which the driver,
+    a process beside a virtual machine, has been seen to wait for without end."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.abs(both[i:, i]).argmax())
+        if pivot != i:
+            both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        rows = np.flatnonzero(both[:, i])
+        rows = rows[rows != i]
+        both[rows] -= both[rows, i][:, None] * both[i]
+    return both[:, n:]
+
+
 def cutting_stock(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
     """(pattern, times) that hold exactly `counts` pieces of the classes 1..capacity.
 
@@ -231,16 +241,16 @@ def cutting_stock(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, i
         return []
     demand = counts[present].astype(float)
     columns, x = _first_basis(present, demand, capacity)
-    inverse = np.linalg.inv(columns)
+    inverse = _inverse(columns)
     for step in range(MAX_COLUMNS):
         prices = np.zeros(len(counts))
         prices[present] = inverse.sum(axis=0)
         best, pattern = _best_pattern(np.maximum(prices, 0), capacity)
-        bound = float(np.maximum(prices[present], 0) @ demand) / max(best, 1)
+        bound = float((np.maximum(prices[present], 0) * demand).sum()) / max(best, 1)
         if best <= 1 + 1e-9 or x.sum() - bound <= GAP * x.sum():
             break
         new = pattern[present].astype(float)
-        change = inverse @ new
+        change = (inverse * new).sum(axis=1)
         rising = change > 1e-9
         ratios = np.where(rising, x / np.where(rising, change, 1), np.inf)
         out = int(ratios.argmin())
@@ -248,8 +258,8 @@ def cutting_stock(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, i
         x[out] = ratios[out]
         columns[:, out] = new
         if step % 200 == 199:
-            inverse = np.linalg.inv(columns)
-            x = np.maximum(inverse @ demand, 0)
+            inverse = _inverse(columns)
+            x = np.maximum((inverse * demand).sum(axis=1), 0)
         else:
             row = inverse[out] / change[out]
             inverse -= np.outer(change, row)

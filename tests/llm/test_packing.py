@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,11 +59,27 @@ def test_runs_give_the_ids_of_the_text(parts, gap):
     assert pk.WordTokens(JSON)(text.encode()).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
-def test_forgetting_words_changes_nothing(monkeypatch):
-    monkeypatch.setattr(pk, "_WORDS", 3)
-    tool = pk.WordTokens(JSON)
-    for text in ("one two three four five. One", "two three, six", "one SEVEN eight nine one two", "", "five. five"):
-        assert tool(text.encode()).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+def test_small_slices_change_nothing(monkeypatch):
+    monkeypatch.setattr(pk, "RUNS", 3)
+    monkeypatch.setattr(pk, "SLICE_BYTES", 8)
+    texts = ["one two three four five. One", "two three, six", None, "one SEVEN eight nine one two", "", " five. five "]
+    found = [ids.tolist() for ids in pk.WordTokens(JSON).texts(pa.array(texts, pa.string()).slice(1))]
+    assert found == [TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+
+
+def test_the_inverse_of_a_basis():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 60):
+        basis = np.triu(rng.integers(0, 4, (n, n))) + np.eye(n) * 9
+        basis = basis[rng.permutation(n)]
+        assert np.allclose(pk._inverse(basis.copy()) @ basis, np.eye(n), atol=1e-8)
+
+
+def test_a_plan_beside_a_live_session(spark):
+    """With the threads that the linear algebra library takes by itself."""
+    assert spark.range(10).count() == 10
+    counts = np.random.default_rng(2).integers(0, 400, 512)
+    assert sum((p * t for p, t in pk.cutting_stock(counts, 512)), np.zeros(512, np.int64)).tolist() == counts.tolist()
 
 
 @settings(max_examples=60, deadline=None)
