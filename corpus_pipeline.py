@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import Staged
+from linkmill.llm.common import Staged, staged_here
 from linkmill.llm.mixing import mix_documents
 from linkmill.llm.near_text import near_duplicates
 from linkmill.llm.packing import pack_documents
@@ -35,13 +35,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     columns = [f"`{c}`" for c in docs.columns]
     # What numbers rows must be written: another reading could number them differently.
     rows = Staged(docs.select(F.monotonically_increasing_id().alias("_row"), *columns), "numbered").df
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), SIMILAR_PERCENT)
     ids = rows.select("_row", F.col("doc_id").cast("long").alias("_id"))
-    found = found.select(F.col("doc_id").alias("_row"), "component_id").join(ids, "_row")
-    first = F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_row"))
-    kept = found.groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = found.join(kept, "component_id").where("_row <> first._row")
-    return rows.join(gone.select("_row"), "_row", "left_anti").select(*columns)
+    with staged_here() as tables:
+        found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), SIMILAR_PERCENT)
+        found = found.select(F.col("doc_id").alias("_row"), "component_id").join(ids, "_row")
+        first = F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_row"))
+        kept = found.groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
+        gone = found.join(kept, "component_id").where("_row <> first._row").select("_row")
+    # Numbers of rows are all that is needed further on.
+    gone = Staged(gone, "gone").df
+    for table in tables:
+        table.drop()
+    return rows.join(gone, "_row", "left_anti").select(*columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
