@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from linkmill.functions.urls import request_fingerprint
 from linkmill.operators.bloom import BloomSize, bloom_build, bloom_maybe_contains
+from linkmill.plans.staging import stage
 
 
 def fingerprint(df: DataFrame, url: str = "url", method: str | None = None, body: str | None = None,
@@ -47,6 +48,8 @@ def admit(requests: DataFrame, seen: DataFrame | None = None, key: Sequence[str]
     *scope, last = key
     compared = [*scope, "_key"]
     keyed = requests.withColumn("_key", admission_key(last, dont_filter, seq)).filter(F.col("_key").isNotNull())
+    if seen is not None and dedup == "bloom+exact":
+        keyed = stage(keyed, "requests")  # read twice: for the filter and for the comparison
     rank = F.row_number().over(W.partitionBy(*compared).orderBy(seq))
     fresh = keyed.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
     if seen is not None:
@@ -87,15 +90,13 @@ def merge_pending(frontier: DataFrame, new: DataFrame, key: Sequence[str] = ("sp
                   seq: str = "seq", priority: str = "priority") -> DataFrame:
     """Sorted-set push: every member once, the last priority wins, the first arrival is kept with all its columns.
 
-    Only keys, `seq` and priority are folded; the other columns follow by a join on the
-    first arrival. A column that one side lacks is null there.
+    A column that one side lacks is null there. Rows are folded before the shuffle, so a
+    member that was pushed very often sends one row per task.
     """
     rows = frontier.unionByName(new, allowMissingColumns=True)
-    if len(rows.columns) == len(key) + 2:
-        return rows.groupBy(*key).agg(F.max_by(priority, seq).alias(priority), F.min(seq).alias(seq))
-    kept = rows.groupBy(*key).agg(F.max_by(priority, seq).alias("_priority"), F.min(seq).alias("_seq"))
-    kept = kept.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(key)), "_priority", "_seq")
-    same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(key)]
-    first = rows.join(kept, [*same, F.col(seq).eqNullSafe(F.col("_seq"))])
-    columns = [F.col("_priority").alias(priority) if c == priority else F.col(c) for c in rows.columns]
-    return first.select(*columns).dropDuplicates([*key])
+    others = [c for c in rows.columns if c not in (*key, seq, priority)]
+    folded = [F.max_by(priority, seq).alias(priority), F.min(seq).alias(seq)]
+    if others:
+        folded.append(F.min_by(F.struct(*others), seq).alias("_first"))
+    merged = rows.groupBy(*key).agg(*folded)
+    return merged.select(*(F.col(f"_first.{c}").alias(c) if c in others else F.col(c) for c in rows.columns))

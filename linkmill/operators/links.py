@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from linkmill.functions import urls as U
 from linkmill.operators.nodes import Each, select_nodes
+from linkmill.operators.skew import join_one
+
+# Largest domain table that is sent to every executor.
+DOMAIN_ROWS = 1_000_000
 
 # Link targets that are no pages.
 DENIED_EXTENSIONS = (
@@ -168,6 +172,30 @@ def filter_domains(df: DataFrame, domains: Sequence[str] | str, url: str = "url"
     return df.filter(F.exists(parents, lambda d: d.isin(names)))
 
 
+def filter_domains_table(df: DataFrame, domains: DataFrame, url: str = "url", domain: str = "domain",
+                         broadcast_rows: int = DOMAIN_ROWS) -> DataFrame:
+    """`filter_domains` with the domains as a table, however long; an empty table keeps all.
+
+    The distinct hosts are matched, not the rows: every host is expanded to itself and its
+    parents and semi-joined with the domains, which are counted and sent to every executor
+    only if they are few. The hosts that match then select the rows; a host with very many
+    rows stays in their tasks (`join_one`).
+    """
+    names = domains.select(F.lower(F.trim(domain)).alias("_domain")).where("_domain <> ''").distinct()
+    size = names.limit(broadcast_rows + 1).count()
+    if size == 0:
+        return df
+    keyed = df.withColumn("_host", U.url_host(url))
+    hosts = keyed.select("_host").where("_host is not null").distinct()
+    labels = F.split("_host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)),
+                          lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    expanded = hosts.select("_host", F.explode(parents).alias("_domain"))
+    listed = expanded.join(F.broadcast(names) if size <= broadcast_rows else names, "_domain", "left_semi")
+    allowed = listed.select("_host").distinct().withColumn("_allowed", F.lit(True))
+    return join_one(keyed, allowed, "_host").where("_allowed").select(*df.columns)
+
+
 @dataclass(frozen=True)
 class ListingSpec:
     """A listing page: the repeated element and what is read inside it."""
@@ -195,6 +223,26 @@ def extract_listing(pages: DataFrame, spec: ListingSpec = ListingSpec()) -> Data
                         U.fix_scheme(F.col("_image")).alias("front_image_url"))
 
 
+def listing_requests(pages: DataFrame, listing: ListingSpec = ListingSpec(), pager: PagerSpec = PagerSpec(),
+                     marker: str = ">") -> DataFrame:
+    """What `extract_listing` and `next_page` find, each page parsed once for both.
+
+    `page_id, url, pos, abs_url, front_image_url`; the next page has no `pos` and an empty image.
+    """
+    found = select_nodes(pages.select("page_id", "url", "html"), {
+        "_items": Each(listing.node, {"link": listing.link, "image": listing.image}),
+        "_text": pager.text, "_link": pager.link})
+    items = F.transform("_items", lambda item, i: F.struct(
+        i.cast("bigint").alias("pos"), F.coalesce(F.get(item["link"], 0), F.lit("")).alias("href"),
+        F.coalesce(F.get(item["image"], 0), F.lit("")).alias("image")))
+    more = F.array(F.struct(F.lit(None).cast("bigint").alias("pos"), F.coalesce(F.get("_link", 0), F.lit("")).alias("href"),
+                            F.lit("").alias("image")))
+    hits = F.when(F.get("_text", 0) == marker, more).otherwise(F.slice(more, 1, 0))
+    rows = found.select("page_id", "url", F.explode(F.concat(items, hits)).alias("_row")).select("page_id", "url", "_row.*")
+    return rows.select("page_id", "url", "pos", U.resolve_url("url", "href").alias("abs_url"),
+                       U.fix_scheme(F.col("image")).alias("front_image_url"))
+
+
 def next_page(pages: DataFrame, spec: PagerSpec = PagerSpec(), marker: str = ">") -> DataFrame:
     """`page_id, url, abs_url, dont_filter` of the pages whose last pager link is the marker."""
     found = select_nodes(pages.select("page_id", "url", "html"), {"_text": spec.text, "_link": spec.link})

@@ -12,7 +12,7 @@ from linkmill.functions import urls as U
 from linkmill.operators import enrich, quality
 from linkmill.operators.dedup import admit, fingerprint
 from linkmill.operators.links import (JOB_LINK_RULES, LinkRule, ListingSpec, PagerSpec, extract_links,
-                                      extract_listing, next_page, route_links)
+                                      listing_requests, route_links)
 from linkmill.operators.records import JOB_SPEC, FieldSpec, extract_articles, extract_jobs, extract_table
 from linkmill.operators.stats import carry_forward
 
@@ -28,13 +28,12 @@ def admitted_per_host(pages: DataFrame) -> DataFrame:
 def article_requests(pages: DataFrame, listing: ListingSpec = ListingSpec(),
                      pager: PagerSpec = PagerSpec(), marker: str = ">") -> DataFrame:
     """Requests found on listing pages: the articles, and the next page."""
-    items = extract_listing(pages, listing).select(
-        "page_id", F.col("pos").cast("bigint").alias("pos"), F.col("abs_url").alias("url"),
-        F.lit("parse_detail").alias("callback"), F.lit(False).alias("dont_filter"), "front_image_url")
-    more = next_page(pages, pager, marker).select(
-        "page_id", F.lit(None).cast("bigint").alias("pos"), F.col("abs_url").alias("url"),
-        F.lit("parse").alias("callback"), "dont_filter", F.lit("").alias("front_image_url"))
-    return fingerprint(items.unionByName(more))
+    rows = listing_requests(pages, listing, pager, marker)
+    more = F.col("pos").isNull()
+    return fingerprint(rows.select(
+        "page_id", "pos", F.col("abs_url").alias("url"),
+        F.when(more, F.lit("parse")).otherwise(F.lit("parse_detail")).alias("callback"), more.alias("dont_filter"),
+        "front_image_url"))
 
 
 def article_records(details: DataFrame, requests: DataFrame | None = None,

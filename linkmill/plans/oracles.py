@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from linkmill.operators.records import MAP_LINK, SECONDS, TITLE_SUFFIXES
-from linkmill.plans.queries import BATCH, BLOOM, DROP_LINE, MARKER
+# What the queries are called with, and marks of the pages.
+BATCH = 100
+BLOOM_BLOCKS = 23188
+MARKER, DROP_LINE = "the", "Home"
+TITLE_ENDING, SECONDS = "-风骚男", "秒"
 
 _ORIGIN = "regexp_extract(url, '^(https?://[^/?#]*)', 1)"
 _HOST = "lower(regexp_extract({}, '^https?://([^/?#:]*)', 1))"
@@ -31,6 +34,11 @@ _ADMIT = f"""WITH {_SEEN}
 SELECT page_id, pos, spider, url, fp, dont_filter FROM fresh
 UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter"""
 
+_RESUME = f"""WITH {_REQUESTS}
+SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
+QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id % 2, page_id, pos) = 1
+UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter"""
+
 _NAV = "regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1)"
 
 
@@ -47,7 +55,7 @@ _WORDS = ", ".join(
     AS BIGINT) AS w{i}""" for i in range(8))
 _MASKS = ", ".join(f"1::UBIGINT << (('0x' || substr(md5(url), {17 + 2 * i}, 2))::BIGINT & 63)::UBIGINT AS m{i}"
                    for i in range(8))
-_BLOCK = f"('0x' || substr(md5(url), 1, 15))::BIGINT % {BLOOM.blocks} AS block"
+_BLOCK = f"('0x' || substr(md5(url), 1, 15))::BIGINT % {BLOOM_BLOCKS} AS block"
 _BLOOM = f"""bloom AS (SELECT block, {", ".join(f"bit_or(m{i}) AS w{i}" for i in range(8))}
   FROM (SELECT {_BLOCK}, {_MASKS} FROM pages) GROUP BY block)"""
 
@@ -116,6 +124,7 @@ def sql() -> dict[str, str]:
     return {
         "seeds_list": f"WITH {_SEEDS} SELECT * FROM seeds ORDER BY seq LIMIT {BATCH}",
         "seeds_list_rest": f"WITH {_SEEDS} SELECT * FROM seeds ORDER BY seq OFFSET {BATCH}",
+        "seeds_cursor": f"WITH {_SEEDS} SELECT * FROM seeds ORDER BY seq LIMIT {BATCH} OFFSET {BATCH}",
         "seeds_scored": f"""WITH {_SEEDS} SELECT member, arg_max_null(score, seq) AS score FROM seeds
             GROUP BY member ORDER BY score DESC, member DESC LIMIT {BATCH}""",
         "seeds_set": f"""WITH {_SEEDS} SELECT DISTINCT member FROM seeds
@@ -160,6 +169,10 @@ def sql() -> dict[str, str]:
             '{{"url":"' || {_CANONICAL} || {_FRAGMENT} || '","wait":"1"}}') AS fp_options FROM pages""",
         "filter_domains": f"""SELECT page_id, url FROM pages
             WHERE regexp_matches({_HOST.format("url")}, '(^|[.])example[.](com|org)$')""",
+        "filter_domains_table": f"""WITH hosts AS (SELECT page_id, url, {_HOST.format("url")} AS host FROM pages),
+            domains AS (SELECT DISTINCT coalesce(nullif(regexp_extract(host, '([^.]*[.][^.]*[.][^.]*)$', 1), ''), host) AS d
+                        FROM hosts WHERE page_id % 3 = 0)
+            SELECT page_id, url FROM hosts SEMI JOIN domains ON host = d OR ends_with(host, '.' || d)""",
         "extract_listing": f"""WITH {_OCCURRENCES.replace(_ENCODE.format("raw"), "raw")}
             SELECT page_id, url, CAST(pos AS INTEGER) AS pos, abs_url, '' AS front_image_url FROM all_links""",
         "next_page": f"""SELECT page_id, url, {_ORIGIN} || regexp_extract_all(html, '<a href="([^"]*)"', 1)[-1]
@@ -199,7 +212,7 @@ def sql() -> dict[str, str]:
               AS front_image_url FROM part, (VALUES (1), (2), (3)) r(n)""",
         "article_crawl": f"""WITH details AS (SELECT *, 'http://list.example.com/p/' || p_partkey || ending AS url
               FROM part, (VALUES ('.html'), ('-b.html')) r(ending))
-            SELECT p_name || '{''.join(TITLE_SUFFIXES)}' AS title, url, md5(url) AS url_object_id,
+            SELECT p_name || '{TITLE_ENDING}' AS title, url, md5(url) AS url_object_id,
               CASE ending WHEN '.html' THEN 'https://img.example.com/' || p_partkey || '.png' ELSE '' END
               AS front_image_url, '' AS front_image_path, CAST(p_size AS BIGINT) AS praise_nums,
               p_partkey AS comment_nums, CAST(p_size AS BIGINT) AS fav_nums, p_brand AS tags,
@@ -221,7 +234,7 @@ def sql() -> dict[str, str]:
         "take_first": f"SELECT page_id, list_filter({_NAV}, lambda x: x <> '')[1] AS value FROM pages",
         "join_tags": f"""SELECT page_id, CASE WHEN len({_NAV}) > 0 THEN array_to_string({_NAV}, ',') END AS value
             FROM pages""",
-        "append_suffix": f"SELECT p_partkey, p_name || '{''.join(TITLE_SUFFIXES)}' AS value FROM part",
+        "append_suffix": f"SELECT p_partkey, p_name || '{TITLE_ENDING}' AS value FROM part",
         "parse_date_or": f"""SELECT o_orderkey, CAST(coalesce({parsed}, DATE '2000-01-01') AS VARCHAR) AS value,
             CASE WHEN {parsed} IS NULL THEN '2000-01-01' END AS parity_value FROM orders""",
         "first_int": r"""SELECT p_partkey,
@@ -254,6 +267,11 @@ def sql() -> dict[str, str]:
             WHERE status BETWEEN 200 AND 299""",
         "admit": _ADMIT,
         "admit_bloom": _ADMIT,
+        "admit_bucketed": _ADMIT,
+        "admit_stored": _RESUME,
+        "seen_clear": f"""WITH {_REQUESTS}, keys AS (SELECT DISTINCT spider, fp FROM requests WHERE NOT dont_filter)
+            SELECT spider, fp FROM keys WHERE spider <> (SELECT min(spider) FROM keys)""",
+        "seen_compact": f"WITH {_REQUESTS} SELECT DISTINCT spider, fp FROM requests WHERE NOT dont_filter",
         "merge_seen": f"WITH {_SEEN} SELECT spider, fp FROM seen UNION SELECT spider, fp FROM fresh",
         "bloom_build": f"WITH {_BLOOM} SELECT block, {_WORDS} FROM bloom",
         "bloom_probe": f"""WITH {_LINKS}, {_BLOOM},
@@ -266,6 +284,8 @@ def sql() -> dict[str, str]:
         "batch_fifo": _batch("seq", "<="),
         "batch_lifo": _batch("seq DESC", "<="),
         "batch_priority": _batch("priority DESC, seq", "<="),
+        "batch_cut": _batch("priority DESC, seq", "<="),
+        "batch_cut_rest": _batch("priority DESC, seq", ">"),
         "batch_large": _batch("priority DESC, seq", "<=", 5000),
         "batch_rest": _batch("priority DESC, seq", ">"),
         "pending_count": f"WITH {_FRONTIER} SELECT spider, count(*) AS pending FROM frontier GROUP BY spider",
@@ -285,6 +305,17 @@ def sql() -> dict[str, str]:
             SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'own' ELSE n_name END AS agent
             FROM (SELECT *, ('0x' || substr(md5(c_custkey || '|7'), 1, 8))::BIGINT % (SELECT count(*) FROM nation) AS pick
                   FROM customer) JOIN pool USING (pick)""",
+        "assign_live": """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'own' ELSE (
+              SELECT arg_max(n_name, md5(c_custkey || '|7|' || n_name)) FROM nation WHERE n_nationkey % 4 <> 0) END AS agent
+            FROM customer""",
+        "assign_live_grouped": """WITH pool AS (
+              SELECT n_name, ('0x' || substr(md5(n_name), 1, 8))::BIGINT % 5 AS grp FROM nation WHERE n_nationkey % 4 <> 0),
+            grps AS (SELECT DISTINCT grp FROM pool),
+            chosen AS (SELECT c_custkey, c_mktsegment, arg_max(grp, md5(c_custkey || '|7|group ' || grp)) AS grp
+                       FROM customer, grps GROUP BY 1, 2)
+            SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'own'
+                   ELSE arg_max(n_name, md5(c_custkey || '|7|' || n_name)) END AS agent
+            FROM chosen JOIN pool USING (grp) GROUP BY c_custkey, c_mktsegment""",
         "crawl_stats": """SELECT event_type AS spider, CASE WHEN value > 10 THEN 'admitted' ELSE 'filtered' END AS outcome,
             count(*) AS n FROM events GROUP BY ALL""",
         "carry_forward": _carry(),
@@ -292,6 +323,10 @@ def sql() -> dict[str, str]:
         "json_roundtrip": "SELECT * FROM part",
         "item_feed": "SELECT 'parts:items' AS key, p_partkey, p_name, p_size, p_retailprice FROM part",
         "item_feed_custom": "SELECT 'parts:items' AS key, p_partkey || '|' || p_name AS value FROM part",
+        "compact_changes": """WITH rows AS (SELECT event_id, user_id, event_type, props,
+              CASE WHEN event_type <> 'error' THEN value END AS value FROM events)
+            SELECT user_id, arg_min_null(event_type, event_id) AS event_type, arg_min_null(props, event_id) AS props,
+                   arg_max_null(value, event_id) AS value FROM rows GROUP BY user_id""",
         "upsert_articles": _upsert(["value"]),
         "upsert_jobs": _upsert(["value", "props"]),
         "stream_pages": "SELECT page_id, url, md5(html) AS html_md5 FROM pages",
@@ -300,10 +335,19 @@ def sql() -> dict[str, str]:
             SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
             QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id, pos) = 1
             UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter""",
-        "resume": f"""WITH {_REQUESTS}
+        "resume": _RESUME,
+        "stream_admit_state": f"""WITH {_REQUESTS}
             SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE NOT dont_filter
-            QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id % 2, page_id, pos) = 1
+            QUALIFY row_number() OVER (PARTITION BY spider, fp ORDER BY page_id, pos) = 1
             UNION ALL SELECT page_id, pos, spider, url, fp, dont_filter FROM requests WHERE dont_filter""",
+        "stream_stats": f"""WITH asked AS (
+              WITH {_REQUESTS} SELECT CAST(page_id % 2 AS INTEGER) AS batch_id, count(*) AS n FROM requests GROUP BY 1),
+            passed AS (SELECT CAST(page_id % 2 AS INTEGER) AS batch_id, spider, count(*) AS n FROM ({_RESUME}) GROUP BY 1, 2),
+            sums AS (SELECT batch_id, CAST(sum(n) AS BIGINT) AS n, CAST(sum(least(n, 5)) AS BIGINT) AS popped
+                     FROM passed GROUP BY 1)
+            SELECT batch_id, 'enqueued' AS outcome, n FROM sums
+            UNION ALL SELECT batch_id, 'filtered', asked.n - sums.n FROM asked JOIN sums USING (batch_id)
+            UNION ALL SELECT batch_id, 'dequeued', popped FROM sums""",
         "stream_seeds": """SELECT o_orderkey AS seq, 'http://seed.example.com/' || o_custkey AS url, true AS dont_filter
             FROM orders""",
         "stream_load": f"""WITH items AS (SELECT page_id, url, md5(url) AS url_object_id, {_H1} AS title,

@@ -13,18 +13,24 @@ from linkmill.functions import fields as C
 from linkmill.functions import urls as U
 from linkmill.operators import enrich, frontier, quality, records, stats
 from linkmill.operators.bloom import BloomSize, bloom_build, bloom_maybe_contains
+from linkmill.operators.cut import batch_cut
 from linkmill.operators.dedup import admit, fingerprint, merge_pending, merge_seen
 from linkmill.operators.links import (JOB_LINK_RULES, ListingSpec, LinkRule, PagerSpec, extract_links, extract_listing,
-                                      filter_domains, next_page, route_links)
+                                      filter_domains, filter_domains_table, next_page, route_links)
 from linkmill.operators.nodes import select_nodes, tag_texts
 from linkmill.operators.records import FieldSpec, each, extract_articles, extract_jobs, extract_table
 from linkmill.plans import crawls
 from linkmill.plans.staging import staging_path
-from linkmill.sinks import files, upsert as up
+from linkmill.sinks import bucketed, files, upsert as up
+from linkmill.sinks.changelog import ChangeLog
+from linkmill.sinks.seen import SeenStore, admit_stored
 from linkmill.sources.pages import read_pages, stream_pages, stream_seeds
+from linkmill.sources.queue import SeedQueue
 from linkmill.sources.seeds import decode_seeds, parse_seed_json, take_seeds
 from linkmill.streaming.admission import admit_batches, stream_admit
+from linkmill.streaming.counters import read_counts
 from linkmill.streaming.loading import stream_load
+from linkmill.streaming.state import stream_admit_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -33,6 +39,7 @@ START = dt.datetime(2024, 1, 1)
 DEFAULT_DATE = dt.date(2000, 1, 1)
 BATCH = 100
 LARGE_BATCH = 5_000
+STEP = 5
 BLOOM = BloomSize.of(capacity=100_000, fpp=1e-8)
 # The link rules of the routing query, by words that occur in the test links.
 RULES = [
@@ -111,6 +118,16 @@ def seeds_set(spark, folder):
     return take_seeds(_seed_rows(spark, folder), BATCH, "set", seed=7)[0]
 
 
+@query
+def seeds_cursor(spark, folder):
+    """The second batch of a queue that is consumed by moving a cursor."""
+    rows = _seed_rows(spark, folder)
+    queue = SeedQueue(spark, staging_path(spark, "queue"), rows.schema)
+    queue.push(rows)
+    queue.take(BATCH)
+    return queue.take(BATCH)
+
+
 @query
 def decode_seeds_(spark, folder):
     data = F.encode(F.when(F.col("url").contains("#"), F.lit("")).otherwise(F.col("url")), "UTF-8")
@@ -201,6 +218,14 @@ def filter_domains_(spark, folder):
     return filter_domains(pages(spark, folder), DOMAINS).select("page_id", "url")
 
 
+@query
+def filter_domains_table_(spark, folder):
+    """Pages on the domains, one label below the host, of every third page."""
+    p = pages(spark, folder)
+    domains = p.where("page_id % 3 = 0").select(F.substring_index(U.url_host("url"), ".", -3).alias("domain"))
+    return filter_domains_table(p.select("page_id", "url"), domains)
+
+
 @query
 def extract_listing_(spark, folder):
     spec = ListingSpec("nav li", "a::attr(href)", "img::attr(src)")
@@ -495,6 +520,53 @@ def merge_seen_(spark, folder):
     return merge_seen(seen, new_seen)
 
 
+def _page_part(spark: SparkSession, folder: str, parts: int, i: int) -> DataFrame:
+    return pages(spark, folder).where(F.col("page_id") % parts == i)
+
+
+def _new_keys(spark: SparkSession, folder: str, parts: int, i: int) -> DataFrame:
+    return requests(_page_part(spark, folder, parts, i)).where("not dont_filter").select("spider", "fp")
+
+
+@query
+def seen_clear(spark, folder):
+    """A stored set of two batches after its first spider has been cleared."""
+    store = SeenStore(spark, staging_path(spark, "seen"))
+    for i in range(2):
+        store.add(_new_keys(spark, folder, 2, i), i)
+    store.clear(store.read().agg(F.min("spider")).first()[0])
+    return store.read()
+
+
+@query
+def seen_compact(spark, folder):
+    """A stored set whose first batches were merged before the last one came."""
+    store = SeenStore(spark, staging_path(spark, "seen"))
+    for i in range(4):
+        store.add(_new_keys(spark, folder, 4, i), i)
+        if i % 2:
+            store.compact()
+    return store.read()
+
+
+@query
+def admit_stored_(spark, folder):
+    """Two batches admitted one after the other against a stored set."""
+    store = SeenStore(spark, staging_path(spark, "seen"))
+    parts = [admit_stored(requests(_page_part(spark, folder, 2, i)), store, i) for i in range(2)]
+    return parts[0].union(parts[1]).select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
+
+
+@query
+def admit_bucketed(spark, folder):
+    p = pages(spark, folder)
+    path = staging_path(spark, "buckets")
+    name = "seen_" + path.rpartition("-")[2]
+    bucketed.write_bucketed_seen(seen_pages(p), name, path, buckets=16)
+    admitted, _ = bucketed.admit_bucketed(requests(p), name)
+    return admitted.select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
+
+
 @query
 def bloom_build_(spark, folder):
     return bloom_build(pages(spark, folder).select("url"), "url", BLOOM)
@@ -543,6 +615,16 @@ def batch_large(spark, folder):
     return frontier.select_batch(frontier_, LARGE_BATCH)[0]
 
 
+@query
+def batch_cut_(spark, folder):
+    return batch_cut(_frontier(spark, folder).drop("at"), BATCH)[0]
+
+
+@query
+def batch_cut_rest(spark, folder):
+    return batch_cut(_frontier(spark, folder).drop("at"), BATCH)[1]
+
+
 @query
 def pending_count(spark, folder):
     return frontier.pending_count(_frontier(spark, folder))
@@ -601,6 +683,20 @@ def assign_member(spark, folder):
                                 seed="7")
 
 
+def _assign_live(few: int) -> Query:
+    def run(spark, folder):
+        rows = table(spark, folder, "customer").select(
+            "c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.lit("own")).alias("agent"))
+        pool = table(spark, folder, "nation").select("n_name", (F.col("n_nationkey") % 4 != 0).alias("alive"))
+        return enrich.assign_live(rows, pool, "c_custkey", "agent", "n_name", "alive", seed="7", few=few)
+    return run
+
+
+REGISTRY["assign_live"] = _assign_live(enrich.LIVE_ROWS)
+# The same with the pool treated as too large to be ranked in one step.
+REGISTRY["assign_live_grouped"] = _assign_live(0)
+
+
 # Statistics
 
 @query
@@ -678,6 +774,21 @@ def upsert_jobs(spark, folder):
     return _upsert(spark, folder, ["value", "props"])
 
 
+@query
+def compact_changes(spark, folder):
+    """Eight batches of changes, merged level by level as they come, read as one table."""
+    value = F.when(F.col("event_type") != "error", F.col("value"))
+    rows = table(spark, folder, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type", "props",
+                                                 value.alias("value"))
+    first, last = rows.agg(F.min("seq"), F.max("seq")).first()
+    log = ChangeLog(spark, staging_path(spark, "changes"), rows.schema, "user_id", ["value"], fanout=2)
+    for i in range(8):
+        batch = F.expr(f"least((seq - {first}) * 8 div {max(1, last - first)}, 7)")
+        log.append(rows.where(batch == i), i)
+        log.compact()
+    return log.current()
+
+
 # Streams, run until the given files are read
 
 @query
@@ -713,6 +824,30 @@ def stream_admit_batches(spark, folder):
     return spark.read.parquet(out).select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
 
 
+@query
+def stream_admit_state_(spark, folder):
+    path, check = staging_path(spark, "admitted"), staging_path(spark, "check")
+    rows = stream_admit_state(requests(page_stream(spark, folder)))
+    _finish(rows.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True)
+            .start(path))
+    admitted = spark.read.schema(rows.schema).parquet(path)
+    return admitted.select("seq.page_id", "seq.pos", "spider", "url", "fp", "dont_filter")
+
+
+@query
+def stream_stats(spark, folder):
+    """Requests enqueued, filtered and dequeued by each of two micro-batches."""
+    source, out, seen, check, counts = (staging_path(spark, n) for n in ("pages", "admitted", "seen", "check", "counts"))
+
+    def pop(admitted: DataFrame, batch_id: int) -> dict[str, int]:
+        return {"dequeued": frontier.select_batch(admitted, STEP)[0].count()}
+
+    for half in (0, 1):
+        _page_part(spark, folder, 2, half).write.mode("append").parquet(source)
+        _finish(admit_batches(requests(stream_pages(spark, source)), seen, out, check, after=pop, counts_path=counts))
+    return read_counts(spark, counts)
+
+
 @query
 def resume(spark, folder):
     """Admission stopped after the first pages and started again when others have come."""

@@ -37,8 +37,10 @@ def take_seeds(df: DataFrame, n: int, mode: str = "list", seed: int = 0, seq: st
         batch = _take(waiting, n, [F.md5(F.concat(F.col(member), F.lit(f"|{seed}"))).asc(), F.col(member).asc()])
     else:
         raise ValueError(f"unknown mode: {mode!r}")
-    taken = batch.select(key)
-    return batch, waiting.join(F.broadcast(taken) if n <= BROADCAST_ROWS else taken, key, "left_anti")
+    taken = batch.select(F.col(key).alias("_taken"))
+    # Null-safe, so that batch and rest are complements for a seed without a number or member too.
+    return batch, waiting.join(F.broadcast(taken) if n <= BROADCAST_ROWS else taken,
+                               F.col(key).eqNullSafe(F.col("_taken")), "left_anti")
 
 
 def decode_seeds(df: DataFrame, encoding: str = "UTF-8", data: str = "data") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from linkmill.operators.dedup import admission_key, admit, append_seen
+from linkmill.streaming.counters import RowCount, write_counts
 
 SEEN_TABLE = T.StructType([
     T.StructField("fp", T.StringType()),
@@ -52,27 +53,36 @@ def read_seen(spark: SparkSession, path: str, before_batch: int | None = None) -
 
 
 def admit_batches(requests: DataFrame, seen_path: str, out_path: str, checkpoint: str, seq: str = "seq",
-                  trigger: dict | None = None, after: Callable[[DataFrame, int], None] | None = None,
-                  **options) -> StreamingQuery:
+                  trigger: dict | None = None, after: Callable[[DataFrame, int], dict[str, int] | None] | None = None,
+                  counts_path: str | None = None, **options) -> StreamingQuery:
     """Admit every micro-batch against a stored seen-set; the first arrival wins.
 
     A micro-batch only sees keys of earlier ones and overwrites its own folders, so
     repeating it after a failure gives the same tables. A restart goes on with the
     same seen-set. Further options, such as `dedup`, go to `admit`.
+
+    With `counts_path` the requests that were enqueued and those that were filtered are
+    counted as they pass, and so is what `after` returns as numbers, such as the requests it
+    dequeued (`counters.read_counts`).
     """
     create_seen(requests.sparkSession, seen_path)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        admitted, new_seen = admit(batch, read_seen(spark, seen_path, batch_id), ("spider", "fp"), seq, **options)
-        (admitted.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+        asked = RowCount(batch) if counts_path else None
+        admitted, new_seen = admit(asked.df if asked else batch, read_seen(spark, seen_path, batch_id), ("spider", "fp"), seq,
+                                   **options)
+        passed = RowCount(admitted) if counts_path else None
+        ((passed.df if passed else admitted).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path))
         # The new keys are read back from what was just written, not computed again.
         written = spark.read.schema(_with_batch(admitted)).parquet(out_path).filter(F.col("batch_id") == batch_id)
         append_seen(written.filter(~F.coalesce("dont_filter", F.lit(False))).select("spider", "fp"), seen_path,
                     batch_id)
-        if after is not None:
-            after(written.drop("batch_id"), batch_id)
+        more = after(written.drop("batch_id"), batch_id) if after is not None else None
+        if asked and passed:
+            counts = {"enqueued": passed.n, "filtered": asked.n - passed.n} | (more or {})
+            write_counts(spark, counts, counts_path, batch_id)
 
     return (requests.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
