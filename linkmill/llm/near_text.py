@@ -39,7 +39,7 @@ _BAND = _RNG.integers(1, 1 << 63, (BANDS, BAND_ROWS), dtype=np.uint64) | np.uint
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 4096
 
-SETS = "doc_id long, n_shingles long, digest binary, packed array<long>, bands array<long>"
+SETS = "doc_id long, text_hash long, n_shingles long, digest binary, packed array<long>, bands array<long>"
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
@@ -83,7 +83,7 @@ def _lists(values: np.ndarray, filled: np.ndarray) -> pa.Array:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict = {}
     for batch in batches:
-        for row, words, bounds in hashed_texts(batch.column(1), kept, lower=True):
+        for row, words, bounds in hashed_texts(batch.column(2), kept, lower=True):
             n = len(bounds) - 1
             sizes, digests, low = np.zeros(n, np.int64), [], np.empty((n, N_HASHES), np.uint32)
             for i in range(n):
@@ -91,9 +91,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes[i], low[i] = len(shingles), minima(shingles)
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(row, n), pa.array(sizes), pa.array(digests, pa.binary()),
+                [batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(sizes), pa.array(digests, pa.binary()),
                  _lists(pack(low), sizes > 0), _lists(band_keys(low), sizes > 0)],
-                names=["doc_id", "n_shingles", "digest", "packed", "bands"])
+                names=["doc_id", "text_hash", "n_shingles", "digest", "packed", "bands"])
 
 
 def estimate(a: str, b: str) -> Column:
@@ -171,6 +171,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     included) and kept (doc_id = component_id). A null or empty text has no shingles and
     no links; a text shorter than a shingle is one shingle of its words. Rows with equal
     sets form one class, whatever their ids; a null doc_id never gives its name to a class.
+    Rows that share an id and differ in text are classes of their own: each is compared, and
+    all that links to one of them bears the smallest id that it reaches.
 
     Equal sets are folded to one representative before any comparison, so copies cost one
     row each. Candidates come in two steps. First each member of a band bucket is paired
@@ -182,13 +184,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     condition of the join, so that no pair comes out of it that cannot reach the threshold.
     """
     threshold = percent / 100
-    sets = Staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sets, SETS),
-                  "shingle-sets").df
-    classes = sets.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("rep IS NOT NULL")
-    reps = sets.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    reps = Staged(reps.select(F.col("doc_id").alias("rep"), "packed", "bands").dropDuplicates(["rep", "packed"]),
-                  "representatives").df
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    sets = Staged(docs.select(doc_id, F.xxhash64(text).alias("text_hash"), text).mapInArrow(_sets, SETS), "shingle-sets").df
+    classes = sets.where("n_shingles > 0").groupBy("digest").agg(F.min(F.when(
+        F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("first")).where("first IS NOT NULL")
+    # A class goes by a number; the ids of its rows may be those of other classes too.
+    classes = Staged(classes.select(F.monotonically_increasing_id().alias("rep"), "digest", "first"), "classes").df
+    reps = sets.join(classes.select("rep", "digest", F.col("first.doc_id").alias("doc_id"),
+                                    F.col("first.text_hash").alias("text_hash")), ["digest", "doc_id", "text_hash"])
+    reps = Staged(reps.select("rep", "packed", "bands").dropDuplicates(["rep"]), "representatives").df
 
     rows = reps.select("rep", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -201,8 +205,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     near = Staged(near, "near").df
 
     ids = members.select(F.col("rep").alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    wanted = classes.join(ids, F.col("rep") == F.col("id")).select("id", "first.doc_id", "first.text_hash")
+    texts = docs.select(doc_id.alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    texts = texts.join(wanted, ["doc_id", "text_hash"]).select("id", "text").dropDuplicates(["id"])
     texts = Staged(texts, "texts").df
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -240,8 +245,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     extra = Staged(confirmed(more).union(within), "links").df
     found = components(links.union(extra))
 
-    names = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id"))
+    ended = classes.join(found, F.col("rep") == F.col("node"), "left").select(
+        "digest", F.coalesce("component", "rep").alias("component"), F.col("first.doc_id").alias("doc_id"))
+    ended = Staged(ended, "ended").df
+    # Staged, so that Spark can split the join for a component with very many classes.
+    names = Staged(ended.groupBy("component").agg(F.min("doc_id").alias("component_id")), "names").df
+    names = ended.select("digest", "component").join(names, "component").select("digest", "component_id")
     rows = sets.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
     rows = rows.join(names, "digest", "left")
     component = F.coalesce("component_id", "doc_id")

@@ -58,3 +58,13 @@ def test_chain_of_near_copies_and_odd_texts(spark):
     assert sorted(map(repr, map(tuple, near_duplicates(nulls).collect()))) == [
         "(3, 2, 3, True)", "(None, 0, None, False)", "(None, 2, 3, False)"]
     assert near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """Different texts under one id are each compared; what links to any of them bears that id."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, a), (5, b), (8, a + " more"), (9, b + " other"), (5, a), (30, "x y z u v w"), (30, None), (31, "x y z u v w"),
+            (None, b)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.component_id) for r in near_duplicates(frame, 85).collect()))
+    assert got == [(0, 5), (5, 5), (5, 5), (5, 5), (8, 5), (9, 5), (30, 30), (30, 30), (31, 30)]
