@@ -39,7 +39,8 @@ def test_page_text_is_not_shuffled(spark):
 def test_pages_are_parsed_once(spark):
     jobs = q.extract_jobs_(spark, FOLDER)
     good, _ = quality.split_valid(jobs, jobs.columns)
-    for df in (q.extract_table_(spark, FOLDER), q.next_page_(spark, FOLDER), q.extract_listing_(spark, FOLDER), good):
+    for df in (q.extract_table_(spark, FOLDER), q.next_page_(spark, FOLDER), q.extract_listing_(spark, FOLDER),
+               q.article_requests(spark, FOLDER), good):
         assert plan(df).count("ArrowEvalPython") == 1
 
 
