@@ -328,7 +328,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, gr
     counts = np.zeros(capacity, np.int64)
     for r in histogram:
         counts[r["class"] - 1] = r["count"]
-    assignment = spark.sparkContext.broadcast(Assignment.of(cutting_stock(counts, capacity)))
+    plan = Assignment.of(cutting_stock(counts, capacity))
+    # Plain arrays: an object of a class would be looked up in the worker's own packages.
+    arrays = spark.sparkContext.broadcast((plan.first, plan.sequence, plan.each))
 
     buckets = max(1, int(counts.sum()) // RANK_ROWS)
     order = F.xxhash64("doc_id", "start", "ids_crc32", "rid")
@@ -340,7 +342,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, gr
 
     @F.arrow_udf("long")
     def place(classes: pa.Array, ranks: pa.Array) -> pa.Array:
-        return pa.array(assignment.value.place(classes.to_numpy(), ranks.to_numpy()), pa.int64())
+        return pa.array(Assignment(*arrays.value).place(classes.to_numpy(), ranks.to_numpy()), pa.int64())
 
     placed = ranked.withColumn("sequence_id", place("class", "rank"))
     within = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "order", "rid")
