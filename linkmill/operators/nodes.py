@@ -77,7 +77,7 @@ def node_values(html: Column, fields: Fields) -> Column:
 
     @F.arrow_udf(out_type)
     def select(html: pa.Array) -> pa.Array:
-        return pa.array((page(v.as_py()) for v in html), type=arrow_type)
+        return pa.array((page(v) for v in html.to_pylist()), type=arrow_type)
 
     # Marked so that the optimizer does not repeat the parse for a filter on its result.
     select = select.asNondeterministic()

@@ -15,6 +15,7 @@ from linkmill.operators.links import (JOB_LINK_RULES, LinkRule, ListingSpec, Pag
                                       listing_requests, route_links)
 from linkmill.operators.records import JOB_SPEC, FieldSpec, extract_articles, extract_jobs, extract_table
 from linkmill.operators.stats import carry_forward
+from linkmill.plans.staging import stage
 
 
 def admitted_per_host(pages: DataFrame) -> DataFrame:
@@ -67,8 +68,11 @@ def job_records(pages: DataFrame, spec: Mapping[str, FieldSpec] = JOB_SPEC, at:
 
 
 def endpoint_pool(pages: DataFrame, checks: DataFrame, fill_speed: bool = False) -> DataFrame:
-    """Endpoints of the list pages without those whose check failed."""
+    """Endpoints of the list pages without those whose check failed.
+
+    Carrying the speed measures the rows before it moves them, so they are staged: every page is parsed once.
+    """
     rows = extract_table(pages)
     if fill_speed:
-        rows = carry_forward(rows, "speed", ["pos"], ["page_id"])
+        rows = carry_forward(stage(rows, "endpoints"), "speed", ["pos"], ["page_id"])
     return C.with_defaults(enrich.prune_failed(rows, checks), {"proxy_type": "HTTP"})
