@@ -39,13 +39,16 @@ def article_requests(pages: DataFrame, listing: ListingSpec = ListingSpec(),
 
 def article_records(details: DataFrame, requests: DataFrame | None = None,
                     spec: Mapping[str, FieldSpec] | None = None) -> DataFrame:
-    """Article records of detail pages, with the image of the listing entry that led to them."""
+    """Article records of detail pages, with the image of the listing entry that led to them.
+
+    The join reads both sides more than once, so both are staged: every page is parsed once.
+    """
     items = extract_articles(details, spec)
     if requests is None:
         return items
-    listing = requests.filter(F.col("callback") == "parse_detail").select(
-        "fp", F.struct("page_id", "pos").alias("seq"), "front_image_url")
-    keyed = fingerprint(items.drop("front_image_url"))
+    listing = stage(requests.filter(F.col("callback") == "parse_detail").select(
+        "fp", F.struct("page_id", "pos").alias("seq"), "front_image_url"), "listing")
+    keyed = stage(fingerprint(items.drop("front_image_url")), "articles")
     carried = enrich.carry_meta(keyed, listing)
     image = F.when(F.col("front_image_url").isNotNull(), F.array("front_image_url"))
     return carried.withColumn("front_image_url", image).select(*items.columns)

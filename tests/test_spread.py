@@ -47,3 +47,13 @@ def test_endpoint_crawl(spark, folder):
     speed = {i: i % 7 - 3.0 for i in range(N)}
     assert sorted(got) == sorted((i, f"c{i}{end}", port or str(i), speed[i]) for i in range(N)
                                  for end, port in (("", ""), ("-b", "81"), ("-c", "82")) if end or speed[i] > 0)
+
+
+def test_article_crawl(spark, folder):
+    df = entry.queries()["article_crawl"](spark, folder)
+    assert len(staged_files(df, "articles")) == len(staged_files(df, "listing")) == 3
+    assert "ArrowEvalPython" not in plan(df)
+    got = rows(df.select("url", "front_image_url", "comment_nums"))
+    assert sorted(got) == sorted(
+        (f"http://list.example.com/p/{i}{end}", f"https://img.example.com/{i}.png" if end == ".html" else "", i)
+        for i in range(N) for end in (".html", "-b.html"))
