@@ -57,3 +57,9 @@ def test_article_crawl(spark, folder):
     assert sorted(got) == sorted(
         (f"http://list.example.com/p/{i}{end}", f"https://img.example.com/{i}.png" if end == ".html" else "", i)
         for i in range(N) for end in (".html", "-b.html"))
+
+
+def test_extract_jobs(spark, folder):
+    df = entry.queries()["extract_jobs"](spark, folder)
+    parsed_in_tasks(df, 1)
+    assert df.where("salary = (page_id % 40) * 1000 AND title = concat('n ', page_id)").count() == N
