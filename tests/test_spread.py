@@ -63,3 +63,8 @@ def test_extract_jobs(spark, folder):
     df = entry.queries()["extract_jobs"](spark, folder)
     parsed_in_tasks(df, 1)
     assert df.where("salary = (page_id % 40) * 1000 AND title = concat('n ', page_id)").count() == N
+
+
+def test_append_endpoints(spark, folder):
+    df = entry.queries()["append_endpoints"](spark, folder)
+    assert len(df.inputFiles()) == 3 and df.count() == 3 * N
