@@ -68,3 +68,7 @@ def test_extract_jobs(spark, folder):
 def test_append_endpoints(spark, folder):
     df = entry.queries()["append_endpoints"](spark, folder)
     assert len(df.inputFiles()) == 3 and df.count() == 3 * N
+
+
+def test_extract_table(spark, folder):
+    parsed_in_tasks(entry.queries()["extract_table"](spark, folder), 3)
