@@ -72,3 +72,7 @@ def test_append_endpoints(spark, folder):
 
 def test_extract_table(spark, folder):
     parsed_in_tasks(entry.queries()["extract_table"](spark, folder), 3)
+
+
+def test_article_requests(spark, folder):
+    parsed_in_tasks(entry.queries()["article_requests"](spark, folder), 3)
