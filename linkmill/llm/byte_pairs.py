@@ -81,10 +81,10 @@ class BytePairs:
             raise ValueError("every single byte needs a rank")
         if sorted(ranks.values()) != list(range(len(ranks))):
             raise ValueError("ranks must be the numbers from 0")
-        self.pieces = [""] * len(ranks)
+        self.pieces = [b""] * len(ranks)
         pairs = []
         for token, rank in ranks.items():
-            self.pieces[rank] = token.decode(LATIN)
+            self.pieces[rank] = token
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
@@ -144,9 +144,11 @@ class BytePairs:
             self._maps(self.by_left), lambda by_left: let(
                 self._maps(self.by_right), lambda by_right: with_tables(single, by_left, by_right))))
 
-    def _joined(self, ids: Column, names: list[str]) -> Column:
-        found = let(_literal(names, "array<string>"), lambda all_: F.transform(ids, lambda i: F.get(all_, i)))
-        return F.encode(F.array_join(found, ""), LATIN)
+    @staticmethod
+    def _joined(ids: Column, names: list[bytes]) -> Column:
+        # Binary in JSON is base64; as strings the bytes stay as they are, and no lambda keeps the table from being a constant.
+        table = _literal([base64.b64encode(n).decode() for n in names], "array<binary>").cast("array<string>")
+        return F.array_join(F.transform(ids, lambda i: F.get(table, i)), "").cast("binary")
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids."""
@@ -154,7 +156,7 @@ class BytePairs:
 
     def packed(self, ids: Column) -> Column:
         """The ids as little-endian unsigned 32-bit integers."""
-        return self._joined(ids, [struct.pack("<I", i).decode(LATIN) for i in range(len(self.pieces))])
+        return self._joined(ids, [struct.pack("<I", i) for i in range(len(self.pieces))])
 
 
 def word_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,23 +180,46 @@ def word_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = end
 
 
+def _by_document(docs: DataFrame, pairs: BytePairs, pattern: str, of_word: Callable[[Column], Column],
+                 of_document: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """doc_id, and columns of each document, made of what `of_word` makes of the ids of its words."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), split_words(F.col("text"), pattern).alias("words"))
+    chunks = rows.mapInArrow(word_chunks, "words array<string>, docs array<struct<doc_id:bigint,codes:array<int>>>")
+
+    def row(doc: Column, words: Column) -> Column:
+        return let(F.transform(doc.codes, lambda c: F.get(words, c)),
+                   lambda own: F.struct(doc.doc_id.alias("doc_id"), *(of(own).alias(name) for name, of in of_document.items())))
+
+    found = let(F.transform(pairs.encode(F.col("words")), of_word), lambda words: F.transform("docs", lambda d: row(d, words)))
+    # The outer form: no row is without documents, and the plain one would compute them twice to find that out.
+    return chunks.select(F.inline_outer(found))
+
+
 def encode_documents(docs: DataFrame, pairs: BytePairs, pattern: str) -> DataFrame:
     """doc_id, ids (array of int): every whole text, each match of `pattern` encoded by itself.
 
     A null or empty text has no ids. Rows that repeat an id, or have none, stay apart. Letters
     and digits are those of the JVM's Unicode tables. A word of n bytes takes time n * n.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), split_words(F.col("text"), pattern).alias("words"))
-    chunks = rows.mapInArrow(word_chunks, "words array<string>, docs array<struct<doc_id:bigint,codes:array<int>>>")
-    found = let(pairs.encode(F.col("words")), lambda ids: F.transform("docs", lambda d: F.struct(
-        d.doc_id.alias("doc_id"), F.flatten(F.transform(d.codes, lambda c: F.get(ids, c))).alias("ids"))))
-    # The outer form: no row is without documents, and the plain one would compute them twice to find that out.
-    return chunks.select(F.inline_outer(found))
+    return _by_document(docs, pairs, pattern, lambda ids: ids, {"ids": F.flatten})
+
+
+def encode_bytes(docs: DataFrame, pairs: BytePairs, pattern: str) -> DataFrame:
+    """doc_id, ids (binary: little-endian unsigned 32-bit), decoded (binary: the bytes of the ids).
+
+    As `encode_documents`; a distinct word's ids are packed and decoded once, documents join them.
+    """
+    def of_word(ids: Column) -> Column:
+        return F.struct(pairs.packed(ids).cast("string").alias("ids"), pairs.decode(ids).cast("string").alias("decoded"))
+
+    def joined(name: str) -> Callable[[Column], Column]:
+        return lambda words: F.array_join(words[name], "").cast("binary")
+
+    return _by_document(docs, pairs, pattern, of_word, {name: joined(name) for name in ("ids", "decoded")})
 
 
 def encoding_report(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, encoded and decoded again."""
-    pairs = BytePairs(ranks)
-    return encode_documents(docs, pairs, pattern).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(pairs.packed(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(pairs.decode(F.col("ids")), 256).alias("decoded_sha256"))
+    return encode_bytes(docs, BytePairs(ranks), pattern).select(
+        "doc_id", F.shiftright(F.octet_length("ids"), 2).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

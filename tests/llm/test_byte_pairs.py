@@ -7,7 +7,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkmill.llm.byte_pairs import BytePairs, encode_documents, encoding_report, merged, read_ranks
+from linkmill.llm.byte_pairs import BytePairs, encode_bytes, encode_documents, encoding_report, merged, read_ranks
 from linkmill.llm.queries import op11_byte_pairs
 
 RANKS = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -48,6 +48,20 @@ def test_plan_has_no_shuffle(spark):
     assert "Exchange" not in plan and "BatchEvalPython" not in plan
 
 
+def test_bytes_of_documents_are_those_of_their_words(spark):
+    texts = [*ODD, None, "\U0001f600" * 3 + "\u00ff\u07ff \u00ff"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (bytes(r.ids), bytes(r.decoded)) for r in encode_bytes(docs, BytePairs(RANKS), public_tokenizers.PATTERN).collect()}
+    ids = {i: LIBRARY.encode_ordinary(t or "") for i, t in enumerate(texts)}
+    assert got == {i: (struct.pack(f"<{len(x)}I", *x), (texts[i] or "").encode()) for i, x in ids.items()}
+
+
+def test_report_packs_and_decodes_distinct_words_only(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = encoding_report(docs, RANKS, public_tokenizers.PATTERN)._jdf.queryExecution().analyzed().toString()
+    assert "array_join" in plan and "flatten" not in plan  # the ids of a whole text are never listed
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(min_size=1, max_size=12))
 def test_merging_is_that_of_the_library(word):
