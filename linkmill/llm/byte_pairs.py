@@ -12,7 +12,6 @@ from __future__ import annotations
 import base64
 import json
 import struct
-from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
@@ -23,6 +22,10 @@ from pyspark.sql import functions as F
 #: Text bytes of the documents whose words are made distinct together.
 CHUNK_BYTES = 32 << 20
 LATIN = "ISO-8859-1"
+#: An entry of the fold, from the highest bits: rank (20 bits), place in the word (23), token (20).
+PLACE, RANK = 20, 43
+TOKENS = NO_RANK = (1 << 20) - 1
+PLACES = (1 << 23) - 1
 #: White space as the tokenizers have it; Java's \s knows ASCII only.
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -44,8 +47,8 @@ def split_words(text: Column, pattern: str) -> Column:
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+    """`body` of a value that is computed once: a fold over nothing, as an indexed transform derives its type for each value."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, body)
 
 
 def _literal(value, kind: str) -> Column:
@@ -53,15 +56,44 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def merged(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
-    """Ids of a word by merging alone, as `BytePairs` folds it."""
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
+
+
+def merged(word: bytes, ranks: Mapping[bytes, int], least: int = 1) -> list[int]:
+    """Ids of a word by merging alone, as `BytePairs` folds it, until `least` are left."""
     parts = [word[i:i + 1] for i in range(len(word))]
-    while True:
+    while len(parts) > least:
         found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
         if not found:
-            return [ranks[p] for p in parts]
+            break
         i = min(found)[1]
         parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[p] for p in parts]
+
+
+def shifted_rows(rows: Mapping[int, Mapping[int, int]], n: int) -> tuple[list[int], list[int], list[int]]:
+    """Rows of column -> value in one array: the shift of each of `n` rows; whose row an entry is of, or -1; its value."""
+    shift = [0] * n
+    row_of, value = np.full(2 * n, -1), np.zeros(2 * n, np.int64)
+    at = size = 0
+    for key, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+        columns = np.array(sorted(row))
+        offsets = columns - columns[0]
+        at, size = at if len(row) == size else 0, len(row)  # what was too full for a row is so for others of its size
+        while True:
+            while at + 1024 + offsets[-1] > len(row_of):
+                row_of, value = np.append(row_of, np.full(len(row_of), -1)), np.append(value, np.zeros_like(value))
+            free = at + np.flatnonzero(row_of[at:at + 1024] < 0)
+            free = free[(row_of[free[:, None] + offsets] < 0).all(1)]
+            if len(free):
+                break
+            at += 1024
+        shift[key] = int(free[0] - columns[0])
+        row_of[free[0] + offsets] = key
+        value[free[0] + offsets] = [row[c] for c in columns.tolist()]
+    end = int(np.flatnonzero(row_of >= 0)[-1]) + 1 if rows else 0
+    return shift, row_of[:end].tolist(), value[:end].tolist()
 
 
 class BytePairs:
@@ -71,9 +103,11 @@ class BytePairs:
     are merged, the first ones of several, until there are none. A word that has a rank
     itself is that token. Every single byte must have a rank.
 
-    The rank map leads from a pair of tokens to the rank of their joined bytes. As Spark
-    searches a map entry by entry, it is one small map per token: a pair is held by the
-    token that has fewer pairs, so that tokens with very many have few entries of their own.
+    The rank map leads from a pair of tokens to the rank of their joined bytes. A token
+    can only arise from the pair that merging its own bytes ends with: merges within its
+    bytes are the same ones in any word. So a token has one pair. The pairs of a left token
+    are a row, and the rows lie shifted in one array without overlap; a second array tells
+    whose row an entry is of.
     """
 
     def __init__(self, ranks: Mapping[bytes, int]):
@@ -81,56 +115,62 @@ class BytePairs:
             raise ValueError("every single byte needs a rank")
         if sorted(ranks.values()) != list(range(len(ranks))):
             raise ValueError("ranks must be the numbers from 0")
+        if len(ranks) > NO_RANK:
+            raise ValueError(f"at most {NO_RANK} ranks fit into an entry of the fold")
         self.pieces = [b""] * len(ranks)
-        pairs = []
+        self.apart: dict[str, int] = {}  # Tokens that merging does not reach; there are none in a trained vocabulary.
+        rows: dict[int, dict[int, int]] = {}
         for token, rank in ranks.items():
             self.pieces[rank] = token
-            for k in range(1, len(token)):
-                a, b = ranks.get(token[:k]), ranks.get(token[k:])
-                if a is not None and b is not None:
-                    pairs.append((rank, a, b))
+            if len(token) > 1:
+                pair = merged(token, ranks, 2)
+                if len(pair) == 2:
+                    rows.setdefault(pair[0], {})[pair[1]] = rank
+                else:
+                    self.apart[token.decode(LATIN)] = rank
         self.single = [ranks[bytes([b])] for b in range(256)]
-        # Tokens that merging does not reach; there are none in a trained vocabulary.
-        self.apart = {t.decode(LATIN): r for t, r in ranks.items() if merged(t, ranks) != [r]}
-        left, right = Counter(a for _, a, _ in pairs), Counter(b for _, _, b in pairs)
-        self.by_left: list[list[list[int]]] = [[] for _ in self.pieces]
-        self.by_right: list[list[list[int]]] = [[] for _ in self.pieces]
-        for rank, a, b in sorted(pairs):  # frequent pairs, which have low ranks, are found first
-            if left[a] <= right[b]:
-                self.by_left[a].append([b, rank])
-            else:
-                self.by_right[b].append([a, rank])
-
-    @staticmethod
-    def _maps(rows: list[list[list[int]]]) -> Column:
-        """A map per token from a literal."""
-        entries = [[{"other": other, "rank": rank} for other, rank in row] for row in rows]
-        return F.transform(_literal(entries, "array<array<struct<other:int,rank:int>>>"), F.map_from_entries)
+        self.shift, self.row_of, self.rank_at = shifted_rows(rows, len(ranks))
 
     def encode(self, words: Column) -> Column:
-        """Ids of each word of an array of words: a fold over the merges of each."""
-        def with_tables(single: Column, by_left: Column, by_right: Column) -> Column:
+        """Ids of each word of an array of words: a fold over the merges of each.
+
+        The state has a number per token: the rank of the token with its right neighbour,
+        its place, and the token. So the smallest number is the merge that is next. A word
+        has at most 2 ** 23 bytes.
+        """
+        def with_tables(single: Column, shift: Column, row_of: Column, rank_at: Column) -> Column:
             def rank(a: Column, b: Column) -> Column:
-                return F.coalesce(F.try_element_at(F.get(by_left, a), b), F.try_element_at(F.get(by_right, b), a))
+                """Shifted to its place; none for what is no pair, neighbours beyond the ends included."""
+                at = F.get(shift, a) + b
+                return F.when(F.get(row_of, at) == a, F.get(rank_at, at)).otherwise(_long(NO_RANK << RANK))
 
-            def state(parts: Column) -> Column:
-                """The tokens and the ranks of neighbours; null where there is none."""
-                return F.struct(parts.alias("parts"), F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), rank).alias("ranks"))
+            def token(x: Column) -> Column:
+                return x.bitwiseAND(_long(TOKENS))
 
             def merge(s: Column, _: Column) -> Column:
-                def at(low: Column) -> Column:
-                    return F.when(low.isNull(), s).otherwise(let(F.array_position(s.ranks, low), lambda i: let(put(low, i), state)))
+                def put(low: Column, i: Column, new: Column) -> Column:
+                    def entry(x: Column, j: Column) -> Column:
+                        left = rank(token(x), new) + x.bitwiseAND(_long((1 << RANK) - 1))
+                        here = rank(new, token(F.get(s, i + 2))) + low.bitwiseAND(_long(PLACES << PLACE)) + new
+                        return (F.when(j > i + 1, x - _long(1 << PLACE)).when(j < i - 1, x)
+                                .when(j == i, here).when(j < i, left).otherwise(_long(-1)))
 
-                def put(low: Column, i: Column) -> Column:
-                    new = F.transform(s.parts, lambda x, j: F.when(j == i, F.lit(None)).when(j + 1 == i, low).otherwise(x))
-                    return F.filter(new, lambda x: x.isNotNull())
+                    return F.array_remove(F.transform(s, entry), _long(-1))
 
-                return let(F.array_min(s.ranks), at)
+                def at(low: Column) -> Column:
+                    place = F.shiftright(low, PLACE).bitwiseAND(_long(PLACES)).cast("int")
+                    return F.when(low >= _long(NO_RANK << RANK), s).otherwise(
+                        let(place, lambda i: let(F.shiftright(low, RANK), lambda new: put(low, i, new))))
+
+                return let(F.array_min(s), at)
 
             def fold(word: Column) -> Column:
-                parts = F.transform(F.split(word, ""), lambda c: F.get(single, F.ascii(c)))
-                return let(parts, lambda p: F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(p), F.lit(2))), state(p),
-                                                        merge, lambda s: s.parts))
+                def start(parts: Column) -> Column:
+                    entries = F.transform(parts, lambda x, j: rank(x, F.get(parts, j + 1)) + F.shiftleft(j.cast("long"), PLACE) + x)
+                    return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), entries, merge,
+                                       lambda s: F.transform(s, lambda x: token(x).cast("int")))
+
+                return let(F.transform(F.split(word, ""), lambda c: F.get(single, F.ascii(c))), start)
 
             def ids(word: Column) -> Column:
                 if not self.apart:
@@ -140,9 +180,12 @@ class BytePairs:
 
             return F.transform(words, lambda w: let(F.decode(F.encode(w, "UTF-8"), LATIN), ids))
 
-        return let(_literal(self.single, "array<int>"), lambda single: let(
-            self._maps(self.by_left), lambda by_left: let(
-                self._maps(self.by_right), lambda by_right: with_tables(single, by_left, by_right))))
+        def numbers(values: list[int], body: Callable[[Column], Column]) -> Column:
+            return let(_literal(values, "array<bigint>"), body)
+
+        ranks = [rank << RANK for rank in self.rank_at]
+        return numbers(self.single, lambda single: numbers(self.shift, lambda shift: numbers(
+            self.row_of, lambda row_of: numbers(ranks, lambda rank_at: with_tables(single, shift, row_of, rank_at)))))
 
     @staticmethod
     def _joined(ids: Column, names: list[bytes]) -> Column:
@@ -180,17 +223,21 @@ def word_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = end
 
 
-def _by_document(docs: DataFrame, pairs: BytePairs, pattern: str, of_word: Callable[[Column], Column],
-                 of_document: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    """doc_id, and columns of each document, made of what `of_word` makes of the ids of its words."""
+def _by_document(docs: DataFrame, pairs: BytePairs, pattern: str,
+                 columns: Mapping[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]]) -> DataFrame:
+    """doc_id, and columns of each document: what is made of the ids of a word, and then of all that a document's words give."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), split_words(F.col("text"), pattern).alias("words"))
     chunks = rows.mapInArrow(word_chunks, "words array<string>, docs array<struct<doc_id:bigint,codes:array<int>>>")
 
+    def words(ids: Column) -> Column:
+        return F.struct(*(F.transform(ids, of_word).alias(name) for name, (of_word, _) in columns.items()))
+
     def row(doc: Column, words: Column) -> Column:
-        return let(F.transform(doc.codes, lambda c: F.get(words, c)),
-                   lambda own: F.struct(doc.doc_id.alias("doc_id"), *(of(own).alias(name) for name, of in of_document.items())))
+        return F.struct(doc.doc_id.alias("doc_id"), *(
+            of_document(F.transform(doc.codes, lambda c: F.get(words[name], c))).alias(name)
+            for name, (_, of_document) in columns.items()))
 
-    found = let(F.transform(pairs.encode(F.col("words")), of_word), lambda words: F.transform("docs", lambda d: row(d, words)))
+    found = let(pairs.encode(F.col("words")), lambda ids: let(words(ids), lambda w: F.transform("docs", lambda d: row(d, w))))
     # The outer form: no row is without documents, and the plain one would compute them twice to find that out.
     return chunks.select(F.inline_outer(found))
 
@@ -201,7 +248,7 @@ def encode_documents(docs: DataFrame, pairs: BytePairs, pattern: str) -> DataFra
     A null or empty text has no ids. Rows that repeat an id, or have none, stay apart. Letters
     and digits are those of the JVM's Unicode tables. A word of n bytes takes time n * n.
     """
-    return _by_document(docs, pairs, pattern, lambda ids: ids, {"ids": F.flatten})
+    return _by_document(docs, pairs, pattern, {"ids": (lambda ids: ids, F.flatten)})
 
 
 def encode_bytes(docs: DataFrame, pairs: BytePairs, pattern: str) -> DataFrame:
@@ -209,13 +256,11 @@ def encode_bytes(docs: DataFrame, pairs: BytePairs, pattern: str) -> DataFrame:
 
     As `encode_documents`; a distinct word's ids are packed and decoded once, documents join them.
     """
-    def of_word(ids: Column) -> Column:
-        return F.struct(pairs.packed(ids).cast("string").alias("ids"), pairs.decode(ids).cast("string").alias("decoded"))
-
-    def joined(name: str) -> Callable[[Column], Column]:
-        return lambda words: F.array_join(words[name], "").cast("binary")
+    def joined(words: Column) -> Column:
+        return F.array_join(words, "").cast("binary")
 
-    return _by_document(docs, pairs, pattern, of_word, {name: joined(name) for name in ("ids", "decoded")})
+    return _by_document(docs, pairs, pattern, {"ids": (lambda ids: pairs.packed(ids).cast("string"), joined),
+                                               "decoded": (lambda ids: pairs.decode(ids).cast("string"), joined)})
 
 
 def encoding_report(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import struct
 
 import public_tokenizers
@@ -82,3 +83,31 @@ def test_tokens_that_merging_does_not_reach(spark):
 def test_a_vocabulary_without_all_bytes_is_refused():
     with pytest.raises(ValueError):
         BytePairs({b"a": 0})
+
+
+def test_a_token_has_one_pair_and_its_row_leads_to_it():
+    pairs = BytePairs(RANKS)
+    for token, rank in RANKS.items():
+        if len(token) > 1:
+            left, right = merged(token, RANKS, 2)
+            at = pairs.shift[left] + right
+            assert (pairs.row_of[at], pairs.rank_at[at]) == (left, rank)
+    assert sum(row >= 0 for row in pairs.row_of) == len(RANKS) - 256
+
+
+def test_fold_searches_no_map(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = encoding_report(docs, RANKS, public_tokenizers.PATTERN)._jdf.queryExecution().analyzed().toString()
+    assert "map_from_entries" not in plan and "element_at" not in plan
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranks_in_any_order(spark, seed):
+    rng = random.Random(seed)
+    tokens = [bytes([b]) for b in range(256)] + sorted({"".join(rng.choices("abc", k=rng.randint(2, 5))).encode() for _ in range(60)})
+    rng.shuffle(tokens)  # a token may rank before its parts, and be out of reach
+    ranks = {token: rank for rank, token in enumerate(tokens)}
+    words = ["".join(rng.choices("abc", k=rng.randint(1, 14))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.ids for r in encode_documents(docs, BytePairs(ranks), r"\S+|\s+").collect()}
+    assert got == {i: [ranks[w.encode()]] if w.encode() in ranks else merged(w.encode(), ranks) for i, w in enumerate(words)}
